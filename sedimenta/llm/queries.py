@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import exact_dedup, license_scan, near_dup
+from sedimenta.llm import bpe, exact_dedup, license_scan, near_dup, packing, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,11 +22,24 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(_table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op5_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(_table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_license_scan, op7_minhash_near_dup)}
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.context_limits(token_counts.length_histogram(_table(spark, sf_dir, "documents")))
+
+
+_ALL = (op2_exact_dedup, op4_license_scan, op5_bpe_chunk_reuse, op7_minhash_near_dup, op9_best_fit_packing, op10_token_counts)
+QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLE_SQL = {
     "op2_exact_dedup": r"""
