@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, exact_dedup, license_scan, near_dup, packing, token_counts
+from sedimenta.llm import bpe, exact_dedup, license_scan, near_dup, packing, quality, samples, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +26,24 @@ def op5_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"))
 
 
+def _scored(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select("doc_id", samples.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return _scored(quality.score(docs, quality.train_model(docs, _table(spark, sf_dir, "labels"))), 0.5)
+
+
 def op7_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
 
 
+def op8_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return _scored(toxicity.score(docs, toxicity.train_model(docs, _table(spark, sf_dir, "labels"))), 0.7)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -38,7 +52,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.context_limits(token_counts.length_histogram(_table(spark, sf_dir, "documents")))
 
 
-_ALL = (op2_exact_dedup, op4_license_scan, op5_bpe_chunk_reuse, op7_minhash_near_dup, op9_best_fit_packing, op10_token_counts)
+_ALL = (op2_exact_dedup, op4_license_scan, op5_bpe_chunk_reuse, op6_quality_crf, op7_minhash_near_dup, op8_toxicity_crf, op9_best_fit_packing, op10_token_counts)
 QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLE_SQL = {
