@@ -73,7 +73,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     marked = _marked(base, heads, "_maybe", "_len", "_head")
     hashed = marked.withColumn("_full", F.when(F.col("_maybe"), F.sha2(F.col("_norm"), 256)))
     key = ["_len", "_head", "_full"]
-    groups = hashed.filter("_maybe").groupBy(*key).agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1")
+    # Written, so that the join below has a shuffle on both sides, which adaptive execution needs to split a hot group.
+    groups = cut_lineage(hashed.filter("_maybe").groupBy(*key).agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1"))
 
     carried = [F.col(f"_carry_{i}").alias(c) for i, c in enumerate(carry)]
     alone = marked.filter("not _maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), *carried)
