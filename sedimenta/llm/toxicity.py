@@ -24,6 +24,8 @@ PREFIXES = (4, 5, 6)
 #: A feature marks toxic words when its share of toxic documents is beyond chance by MARGIN nats more than the logarithm of
 #: how many features are looked at, it is in TIMES toxic documents at least, and its odds are LIFT times the usual.
 MARGIN, TIMES, LIFT = 1.0, 3, 8.0
+#: Documents of the sample in which a feature must be to have a weight.
+SUPPORT = 3
 
 
 def word_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, vectext.Words]:
@@ -47,13 +49,13 @@ def _originals(words: vectext.Words) -> np.ndarray:
     return first[back]
 
 
-def _seeds(ids: np.ndarray, words: vectext.Words, labels: np.ndarray) -> np.ndarray:
-    """Features whose toxic documents are too many for chance, as a table of booleans. Copies count once."""
+def _seeds(ids: np.ndarray, words: vectext.Words, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(features whose toxic documents are too many for chance, features in SUPPORT documents), tables of booleans. Copies count once."""
     size = 1 << TABLE_BITS
     original = _originals(words)
     owner = np.repeat(original, np.diff(words.place)).astype(np.int64)
     tables = np.zeros((2, size))
-    for column in ids.T[: 1 + len(PREFIXES)]:
+    for column in ids.T:
         pairs = np.unique(owner * size + column)
         tables += np.stack([np.bincount(pairs[labels[pairs // size] == k] % size, minlength=size) for k in (0, 1)])
     clean, toxic = tables
@@ -62,7 +64,7 @@ def _seeds(ids: np.ndarray, words: vectext.Words, labels: np.ndarray) -> np.ndar
     surprise = n * (share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base)))
     odds = (toxic + 0.5) / (clean + 0.5) * (1 - base) / base
     needed = np.log(max((n >= TIMES).sum(), 1)) + MARGIN
-    return (share > base) & (toxic >= TIMES) & (surprise >= needed) & (odds >= LIFT)
+    return (share > base) & (toxic >= TIMES) & (surprise >= needed) & (odds >= LIFT), n >= SUPPORT
 
 
 def _document(toxic: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -103,9 +105,13 @@ def fit(sample: pa.Table, seen: list[int]) -> Model:
         return Model(None, None, prior)
     ids, words = word_features(*vectext.flat(sample["text"].combine_chunks()))
     owner = np.repeat(np.arange(len(labels)), np.diff(words.place))
-    seeds = _seeds(ids, words, labels)
+    seeds, supported = _seeds(ids, words, labels)
     marked = seeds[ids[:, : 1 + len(PREFIXES)]].any(1) & (labels[owner] == 1)
-    chain = crf.train(ids, None, words.place, marked.astype(float), n_sparse=1 << TABLE_BITS, epochs=4, batch_positions=30_000, rate=0.05, l2=1e-7, least_steps=120)
+    # Rare features share a slot whose weight is then taken away, so that they tell nothing.
+    none = int(np.flatnonzero(~supported)[0]) if not supported.all() else 0
+    ids = np.where(supported[ids], ids, none)
+    chain = crf.train(ids, None, words.place, marked.astype(float), n_sparse=1 << TABLE_BITS, epochs=4, batch_positions=30_000, rate=0.05, l2=1e-5, least_steps=150)
+    chain.sparse[~supported] = 0.0
     features = _document(chain.marginals(ids, None, words.place), words.place)
     share = np.array(seen) / np.maximum(np.bincount(labels, minlength=2), 1)
     return Model(chain, crf.logistic(features, labels, share[labels] / share.max()), prior)
