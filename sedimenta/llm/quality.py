@@ -151,3 +151,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     columns are not read.
     """
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_scorer(model), "doc_id long, score double")
+
+
+def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, whose score is threshold or more. Nothing is shuffled."""
+    at = docs.columns.index(text_col)
+    return docs.mapInArrow(samples.row_filter(model_scores(model), at, lambda s: s >= threshold), docs.schema)
+
+
+def model_scores(model: Model):
+    return lambda column: model.score(*vectext.flat(column))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.llm import vectext
+
 #: Rows of each label at most, and characters of a text that is learnt from at most (a longer one is not learnt from; every text is scored whole).
 ROWS_PER_LABEL, MAX_CHARS = 1500, 20_000
 
@@ -29,3 +34,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_lab
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.length("text") <= max_chars).join(picked, "doc_id")
     rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
     return rows.select("text", "label", "doc_id").toArrow().sort_by("doc_id").select(["text", "label"]), [seen.get(0, 0), seen.get(1, 0)]
+
+
+def row_filter(scores: Callable[[pa.Array], np.ndarray], at: int, keep: Callable[[np.ndarray], np.ndarray]):
+    """A mapInArrow function that keeps the rows whose text, in column number at, has a score that keep accepts."""
+
+    def run(batches):
+        for batch in batches:
+            for start, stop in vectext.blocks(batch.column(at)):
+                part = batch.slice(start, stop - start)
+                yield part.filter(pa.array(keep(scores(part.column(at)))))
+
+    return run

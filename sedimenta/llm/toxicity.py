@@ -165,3 +165,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         _scorer(model, span_threshold), "doc_id long, score double, spans array<struct<start:int,stop:int,score:double>>"
     )
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, whose score is below threshold. Nothing is shuffled."""
+    at = docs.columns.index(text_col)
+    return docs.mapInArrow(samples.row_filter(lambda column: model.score(*vectext.flat(column))[0], at, lambda s: s < threshold), docs.schema)
