@@ -110,7 +110,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the two named are not read.
     """
     keywords = sorted({keyword for _, _, keyword, _ in rules()})
-    gate = "(?i)" + "|".join(sorted({_stem(k) for k in keywords}))
+    gate = f"(?i){_EDGE[0]}(?:{_trie(sorted({_stem(k) for k in keywords}))})"
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     text = F.col("text")
     # Keywords have single spaces and marks as texts mostly have them; squeezing both keeps the gate from missing any.
@@ -143,3 +143,14 @@ def _squeeze(keyword: str) -> str:
 def _stem(keyword: str) -> str:
     """The longest word of a keyword, in the form that the gate over whole texts looks for."""
     return max(_squeeze(keyword).split(), key=len)
+
+
+def _trie(words: list[str]) -> str:
+    """A pattern for the beginnings of words, with common beginnings taken together so that few choices are tried at a place."""
+    if "" in words:
+        return ""
+    by_first: dict[str, list[str]] = {}
+    for word in words:
+        by_first.setdefault(word[0], []).append(word[1:])
+    parts = [first + _trie(rest) for first, rest in sorted(by_first.items())]
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
