@@ -9,10 +9,12 @@ With POSITIONS 24 and DISTANCE 11 a pair of Jaccard similarity 0.8 is within DIS
 more similar ones with more; links are then confirmed on the full sets.
 
 No bucket is capped and no bucket's pairs are all emitted. First every member of a bucket is compared with the
-smallest one (a star, linear in the bucket); the confirmed links give components. Then only buckets that still hold
-several components matter, and in those only members of different components are compared, after a look at the
-signature distance. Two members of one component need no further comparison, so the components are those of all
-links within DISTANCE. Components are found by min-label steps with pointer jumping over checkpointed tables.
+smallest one, its hub (a star, linear in the bucket); the confirmed links give components. Two members of one component
+need no further comparison. What is left is, around each hub with members in several components, whether a member
+outside the hub's component (a query) is near a member of another component. Queries meet the hub's members in blocks
+of about BLOCK by BLOCK rows: a first pass over signatures keeps the rows that have someone within DISTANCE in another
+component, a second one compares full sets and gives only the confirmed links. So the components are those of all
+links within DISTANCE, and the rows that are moved grow as members times blocks of queries.
 """
 
 from __future__ import annotations
@@ -26,11 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm import vectext
+from sedimenta.operators.components import components
 from sedimenta.session import cut_lineage
 
 POSITIONS, DISTANCE, CHUNKS = 24, 11, 4
 CHUNK = POSITIONS // CHUNKS
 ERRORS = DISTANCE // CHUNKS
+BLOCK = 512
 SUBSETS = list(combinations(range(CHUNK), CHUNK - ERRORS))
 _SEEDS = vectext.mix(np.arange(1, POSITIONS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
@@ -90,9 +94,9 @@ def _full_sets(width):
 
 
 def _index_keys(batches):
-    """(class, size, keys of all chunks and choices) of (class, size, signature)."""
+    """(class, keys of all chunks and choices) of (class, signature)."""
     for batch in batches:
-        raw = batch.column(2).to_pylist()
+        raw = batch.column(1).to_pylist()
         signatures = np.frombuffer(b"".join(raw), np.uint16).reshape(len(raw), POSITIONS).astype(np.uint64)
         keys = []
         for c in range(CHUNKS):
@@ -102,9 +106,9 @@ def _index_keys(batches):
                     with np.errstate(over="ignore"):
                         value = vectext.mix(value * np.uint64(0x9E3779B97F4A7C15) + signatures[:, c * CHUNK + p])
                 keys.append(value)
-        flat = np.stack(keys, 1).astype(np.uint64).view(np.int64).ravel() if keys and len(raw) else np.zeros(0, np.int64)
+        flat = np.stack(keys, 1).view(np.int64).ravel()
         offsets = np.arange(len(raw) + 1, dtype=np.int32) * (CHUNKS * len(SUBSETS))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["cls", "size", "keys"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["cls", "keys"])
 
 
 def _confirm(percent):
@@ -123,35 +127,69 @@ def _confirm(percent):
     return run
 
 
-def _near(batches):
-    """Keeps the pairs of (a, b, signature of a, signature of b) within DISTANCE."""
-    for batch in batches:
-        if batch.num_rows:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, POSITIONS) for k in (2, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array((x != y).sum(1) <= DISTANCE))
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(rows that are queries, rows that are members, component by row, size by row)."""
+    query = np.asarray(table["query"].combine_chunks().cast(pa.int8())).astype(bool)
+    component, size = (np.asarray(table[c].combine_chunks()) for c in ("component", "size"))
+    return np.flatnonzero(query), np.flatnonzero(~query), component, size
 
 
-def _could(percent: int, a: str, b: str):
-    """Sets of these sizes can reach the threshold."""
-    return 100 * F.least(F.col(a), F.col(b)) >= percent * F.greatest(F.col(a), F.col(b))
+def _signatures_of(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(-1, POSITIONS)
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, component) for the nodes of links (a, b), component being the smallest node that is reachable.
+def _candidates(q: int, members: np.ndarray, component: np.ndarray, size: np.ndarray, signatures: np.ndarray, percent: int) -> np.ndarray:
+    """Members of other components than row q's that can be near it."""
+    low, high = np.minimum(size[members], size[q]), np.maximum(size[members], size[q])
+    some = members[(component[members] != component[q]) & (100 * low >= percent * high)]
+    return some[(signatures[some] != signatures[q]).sum(1) <= DISTANCE]
+
+
+def _has_near(percent):
+    """The rows of a block that have a candidate, of (hub, qb, mb, query, cls, component, size, signature)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        queries, members, component, size = _sides(table)
+        signatures = _signatures_of(table)
+        keep = np.zeros(len(table), bool)
+        for q in queries:
+            found = _candidates(q, members, component, size, signatures, percent)
+            if len(found):
+                keep[q] = True
+                keep[found] = True
+        return table.filter(pa.array(keep))
+
+    return run
 
-    Each round gives every node the smallest label among its neighbours and itself, then replaces each label by that
-    label's own label until nothing changes. Hot nodes are met by partial aggregation before each shuffle.
-    """
-    arcs = cut_lineage(links.select(F.col("a").alias("n"), F.col("b").alias("m")).union(links.select("b", "a")))
-    labels = cut_lineage(arcs.groupBy("n").agg(F.least(F.col("n"), F.min("m")).alias("label")))
-    while True:
-        heard = arcs.join(labels.select(F.col("n").alias("m"), "label"), "m").groupBy("n").agg(F.min("label").alias("heard"))
-        stepped = labels.join(heard, "n").select("n", F.least("label", "heard").alias("new"), F.col("label").alias("old"))
-        jumped = stepped.join(labels.select(F.col("n").alias("new"), F.col("label").alias("far")), "new").select("n", F.least("new", "far").alias("label"), "old")
-        jumped = cut_lineage(jumped)
-        if jumped.filter("label <> old").isEmpty():
-            return labels.select(F.col("n").alias("node"), F.col("label").alias("component"))
-        labels = jumped.select("n", "label")
+
+def _links_within(percent):
+    """The confirmed links (a, b) of a block whose rows have their shingles too."""
+
+    def run(table: pa.Table) -> pa.Table:
+        queries, members, component, size = _sides(table)
+        signatures, cls = _signatures_of(table), np.asarray(table["cls"].combine_chunks())
+        shingles = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+        a, b = [], []
+        for q in queries:
+            found = _candidates(q, members, component, size, signatures, percent)
+            if not len(found):
+                continue
+            own = shingles[q]
+            joined = np.concatenate([shingles[m] for m in found])
+            place = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+            sizes = np.array([len(shingles[m]) for m in found])
+            both = np.add.reduceat((own[place] == joined).astype(np.int64), np.cumsum(sizes) - sizes)
+            for m in found[100 * both >= percent * (sizes + len(own) - both)]:
+                a.append(min(cls[q], cls[m]))
+                b.append(max(cls[q], cls[m]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _could(percent: int, a: str, b: str):
+    """Sets of these sizes can reach the threshold."""
+    return 100 * F.least(F.col(a), F.col(b)) >= percent * F.greatest(F.col(a), F.col(b))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -168,25 +206,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = cut_lineage(texts.mapInArrow(_classify(width), _CLASS_SCHEMA))
     classes = cut_lineage(rows.filter("set_hash is not null").groupBy("set_hash").agg(F.min("doc_id").alias("cls"), F.min("n_shingles").alias("size"), F.min("signature").alias("signature")).filter("cls is not null"))
 
-    keyed = classes.select("cls", "size", "signature").mapInArrow(_index_keys, "cls long, size long, keys array<long>").select("cls", "size", F.explode("keys").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min(F.struct("cls", "size")).alias("hub"), F.count("*").alias("n")).filter("n > 1").select("key", F.col("hub.cls").alias("hub"), F.col("hub.size").alias("hub_size"), "n")
-    members = cut_lineage(keyed.join(hubs, "key"))
-    stars = cut_lineage(members.filter("cls <> hub").filter(_could(percent, "size", "hub_size")).select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct())
+    keyed = classes.select("cls", "signature").mapInArrow(_index_keys, "cls long, keys array<long>").select("cls", F.explode("keys").alias("key"))
+    hubs = keyed.groupBy("key").agg(F.min("cls").alias("hub"), F.count("*").alias("n")).filter("n > 1")
+    # A row for each hub and member, however many keys they share; in buckets of two the star compares all there is.
+    spokes = keyed.join(hubs, "key").groupBy("hub", "cls").agg((F.max("n") > 2).alias("crowded"))
+    sizes = classes.select("cls", "size")
+    spokes = spokes.join(sizes, "cls").join(sizes.withColumnRenamed("cls", "hub").withColumnRenamed("size", "hub_size"), "hub")
+    spokes = cut_lineage(spokes.select("hub", "cls", "size", "hub_size", "crowded"))
+    stars = spokes.filter("cls <> hub").filter(_could(percent, "size", "hub_size")).select(F.col("hub").alias("a"), F.col("cls").alias("b"))
     first = cut_lineage(_confirmed(stars, texts, width, percent))
     found = components(first)
 
-    # Buckets of two have had their one pair compared; in larger ones members of other components are left.
-    crowd = members.filter("n > 2").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", "size", F.coalesce("component", "cls").alias("component"))
-    mixed = crowd.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    crowd = crowd.join(mixed, "key", "left_semi")
-    x, y = (crowd.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("cls", "size", "component"))) for s in "ab")
-    pairs = x.join(y, "key").filter("component_a < component_b").filter(_could(percent, "size_a", "size_b"))
-    pairs = pairs.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    signed = classes.select("cls", "signature")
-    pairs = pairs.join(signed.select(F.col("cls").alias("a"), F.col("signature").alias("sa")), "a").join(signed.select(F.col("cls").alias("b"), F.col("signature").alias("sb")), "b")
-    pairs = cut_lineage(pairs.select("a", "b", "sa", "sb").mapInArrow(_near, "a long, b long"))
-    if not pairs.isEmpty():
-        second = cut_lineage(_confirmed(pairs, texts, width, percent))
+    crowd = spokes.filter("crowded").select("hub", "cls", "size").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    mains = crowd.filter("cls = hub").select("hub", F.col("component").alias("main"))
+    crowd = cut_lineage(crowd.join(mains, "hub").withColumn("outside", F.col("component") != F.col("main")))
+    counts = crowd.groupBy("hub").agg(F.count("*").alias("members"), F.count_if("outside").alias("queries")).filter("queries > 0")
+    counts = counts.select("hub", F.ceil(F.col("members") / BLOCK).alias("member_blocks"), F.ceil(F.col("queries") / BLOCK).alias("query_blocks"))
+    crowd = crowd.join(counts, "hub").withColumn("own_mb", F.pmod(F.xxhash64("cls"), "member_blocks")).withColumn("own_qb", F.pmod(F.xxhash64("cls", F.lit(1)), "query_blocks"))
+    columns = ["hub", "qb", "mb", "query", "cls", "component", "size"]
+    as_members = crowd.withColumn("query", F.lit(False)).withColumn("mb", F.col("own_mb")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
+    as_queries = crowd.filter("outside").withColumn("query", F.lit(True)).withColumn("qb", F.col("own_qb")).withColumn("mb", F.explode(F.sequence(F.lit(0), F.col("member_blocks") - 1)))
+    blocks = as_members.select(columns).union(as_queries.select(columns)).join(classes.select("cls", "signature"), "cls").select(*columns, "signature")
+    kinds = "hub long, qb long, mb long, query boolean, cls long, component long, size long, signature binary"
+    near = cut_lineage(blocks.groupBy("hub", "qb", "mb").applyInArrow(_has_near(percent), kinds))
+    if not near.isEmpty():
+        wanted = near.select(F.col("cls").alias("doc_id")).distinct()
+        whole = near.join(_sets(wanted, texts, width).withColumnRenamed("doc_id", "cls"), "cls").select(*columns, "signature", "shingles")
+        second = cut_lineage(whole.groupBy("hub", "qb", "mb").applyInArrow(_links_within(percent), "a long, b long").distinct())
         if not second.isEmpty():
             found = components(first.union(second))
 
@@ -197,9 +243,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def _sets(wanted: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(doc_id, shingles) of the texts whose ids are wanted."""
+    return cut_lineage(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(width), _SET_SCHEMA).dropDuplicates(["doc_id"]).select("doc_id", "shingles"))
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ids whose full shingle sets reach the threshold; sets are made only for texts in some pair."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = cut_lineage(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(width), _SET_SCHEMA).dropDuplicates(["doc_id"]).select("doc_id", "shingles"))
+    sets = _sets(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), texts, width)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long")
