@@ -30,7 +30,7 @@ from sedimenta.llm import vectext
 TOKENIZER = "word_bpe_49k.json"
 WINDOW, CUT_BITS = 16, 9
 #: What a worker keeps of words and of chunks, in bytes.
-WORD_BYTES_KEPT, CHUNK_BYTES_KEPT = 160 << 20, 48 << 20
+WORD_BYTES_KEPT, CHUNK_BYTES_KEPT = 224 << 20, 32 << 20
 
 _GEAR = (np.random.default_rng(977).integers(0, 1 << 32, 256, dtype=np.uint64)).astype(np.uint32)
 
@@ -55,7 +55,11 @@ def cut_points(data: np.ndarray) -> np.ndarray:
 
 
 class WordCodec:
-    """Tokens of words (runs without ASCII white space), each distinct word encoded once while it is cached."""
+    """Token ids of words (runs without ASCII white space) as little-endian uint32, each distinct word encoded once while it is cached.
+
+    Unknown words are encoded many at a time, with a special token between them that then parts their ids; words that
+    hold the beginning of a special token's name are encoded alone.
+    """
 
     def __init__(self, path: str):
         # One thread a worker: Spark runs as many workers as there are cores.
@@ -65,32 +69,87 @@ class WordCodec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        #: word: (number of tokens, ids as decimal text, decoded text, ids as little-endian uint32)
-        self.words: dict[bytes, tuple[int, bytes, bytes, bytes]] = {}
+        special = [(i, t) for i, t in sorted(self.tokenizer.get_added_tokens_decoder().items()) if t.special and not (t.normalized or t.single_word or t.lstrip or t.rstrip)]
+        self.mark = (special[0][0], special[0][1].content) if special else None
+        self.words: dict[bytes, bytes] = {}
         self.kept_bytes = 0
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def learn(self, words: set[bytes]) -> None:
         """Afterwards the cache has all of words; others may have gone."""
         if self.kept_bytes > WORD_BYTES_KEPT:
             self.words.clear()
             self.kept_bytes = 0
         new = [w for w in words if w not in self.words]
-        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-        for word, found in zip(new, encoded, strict=True):
-            ids = found.ids
-            text = self.tokenizer.decode(ids, skip_special_tokens=False)
-            entry = (len(ids), " ".join(map(str, ids)).encode(), text.encode(), np.array(ids, "<u4").tobytes())
-            self.words[word] = entry
-            self.kept_bytes += len(word) + len(entry[1]) + len(entry[2]) + len(entry[3]) + 400
-
-    def encode(self, words: list[bytes]) -> list[tuple[int, bytes, bytes, bytes]]:
-        """The entries of words, those without a token left out."""
+        joint = [w for w in new if self.mark and b"<" not in w]
+        alone = [w for w in new if not self.mark or b"<" in w]
+        for word, ids in zip(alone, self._ids([w.decode() for w in alone]), strict=True):
+            self.words[word] = np.array(ids, "<u4").tobytes()
+        for k in range(0, len(joint), 4096):
+            part = joint[k : k + 4096]
+            number, name = self.mark
+            ids = np.array(self._ids([name.join([w.decode() for w in part])])[0], "<u4")
+            cuts = np.flatnonzero(ids == number)
+            raw = ids.tobytes()
+            for word, begin, end in zip(part, [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)], strict=True):
+                self.words[word] = raw[begin:end]
+        self.kept_bytes += sum(5 * len(w) + 180 for w in new)
+
+    def encode(self, words: list[bytes]) -> bytes:
+        """The ids of words, one after another."""
         known = self.words
         try:
-            return [e for w in words if (e := known[w])[0]]
+            return b"".join([known[w] for w in words])
         except KeyError:
             self.learn(set(words))
-            return [e for w in words if (e := known[w])[0]]
+            return b"".join([known[w] for w in words])
+
+
+_ALNUM = vectext.byte_class(bytes([*range(48, 58), *range(65, 91), *range(97, 123)]))
+_MARKS = vectext.byte_class(bytes(c for c in range(33, 127) if not chr(c).isalnum()))
+
+
+class BlockCodec(WordCodec):
+    """Ids of all texts of a block at once: only its distinct units are looked up.
+
+    Units are words, cut before a mark that follows an ASCII letter or digit. The tokenizer's pieces never cross such
+    a place, so the ids are those of the whole text; texts with the name of a special token are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.names = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def encode_block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text's begin)."""
+        raw = data.tobytes()
+        split = np.zeros(len(data), bool)
+        split[1:] = _MARKS[data[1:]] & _ALNUM[data[:-1]]
+        units = vectext.Words(data, offsets, vectext.NOT_SPACE, lower=False, split=split)
+        if not len(units):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        _, first, back = np.unique(units.hashes(), return_index=True, return_inverse=True)
+        distinct = [raw[a:b] for a, b in zip(units.starts[first].tolist(), units.ends[first].tolist(), strict=True)]
+        self.learn(set(distinct))
+        parts = [self.words[u] for u in distinct]
+        store = np.frombuffer(b"".join(parts), "<u4")
+        sizes = np.array([len(p) // 4 for p in parts])
+        begin, count = (np.cumsum(sizes) - sizes)[back], sizes[back]
+        ends = np.cumsum(count)
+        ids = store[np.repeat(begin - ends + count, count) + np.arange(ends[-1])]
+        place = np.concatenate([[0], ends])[units.place]
+        if any(name in raw for name in self.names):
+            return self._with_whole(raw, offsets, ids, place)
+        return ids, place
+
+    def _with_whole(self, raw: bytes, offsets: np.ndarray, ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        texts = []
+        for i in range(len(offsets) - 1):
+            text = raw[offsets[i] : offsets[i + 1]]
+            texts.append(np.array(self._ids([text.decode()])[0], "<u4") if any(name in text for name in self.names) else ids[place[i] : place[i + 1]])
+        return np.concatenate(texts), np.cumsum([0, *map(len, texts)])
 
 
 class ChunkCodec:
@@ -98,65 +157,57 @@ class ChunkCodec:
 
     def __init__(self, path: str):
         self.words = WordCodec(path)
-        self.chunks: dict[bytes, tuple[bytes, tuple[int, bytes, bytes] | None, bytes]] = {}
+        size = self.words.tokenizer.get_vocab_size(with_added_tokens=True)
+        names = [self.words.tokenizer.id_to_token(i) for i in range(size)]
+        #: Ids as decimal text, and as tokens; the tokenizer's decoding joins tokens by spaces.
+        self.decimal, self.names = [str(i).encode() for i in range(size)], [(n or "").encode() for n in names]
+        self.chunks: dict[bytes, tuple[bytes, bytes | None, bytes]] = {}
         self.kept_bytes = self.reused = self.encoded = 0
 
-    def _body(self, middle: bytes) -> tuple[int, bytes, bytes]:
-        entries = self.words.encode(middle.split())
-        return sum(e[0] for e in entries), b" ".join([e[1] for e in entries]), b" ".join([e[2] for e in entries])
-
-    def _chunk(self, chunk: bytes) -> tuple[bytes, tuple[int, bytes, bytes] | None, bytes]:
-        """(head, body or None if there is no white space, tail)."""
+    def _chunk(self, chunk: bytes) -> tuple[bytes, bytes | None, bytes]:
+        """(head, ids of the body or None if there is no white space, tail)."""
         if (known := self.chunks.get(chunk)) is not None:
             self.reused += 1
             return known
         self.encoded += 1
-        first = chunk.split(None, 1)[0] if chunk.strip() else b""
-        if chunk[:1].isspace():
-            head = b""
-        else:
-            head = first
+        words = chunk.split()
+        head = words[0] if words and not chunk[:1].isspace() else b""
         if len(head) == len(chunk):
             parts = (chunk, None, b"")
         else:
-            tail = b"" if chunk[-1:].isspace() else chunk.rsplit(None, 1)[-1]
-            parts = (head, self._body(chunk[len(head) : len(chunk) - len(tail)]), tail)
-        self.kept_bytes += len(chunk) + (len(parts[1][1]) + len(parts[1][2]) if parts[1] else 0) + 300
+            tail = words[-1] if words and not chunk[-1:].isspace() else b""
+            parts = (head, self.words.encode(words[bool(head) : len(words) - bool(tail)]), tail)
+        self.kept_bytes += len(chunk) + len(parts[1] or b"") + 300
         if self.kept_bytes > CHUNK_BYTES_KEPT:
             self.chunks.clear()
             self.kept_bytes = 0
         self.chunks[chunk] = parts
         return parts
 
-    def encode(self, text: bytes, cuts: list[int]) -> tuple[int, bytes, bytes]:
-        """(number of tokens, ids as decimal text, decoded text) of a whole text cut at cuts."""
-        count, ids, decoded = 0, [], []
-        open_word = b""
-        at = 0
+    def encode(self, text: bytes, cuts: list[int]) -> bytes:
+        """The ids of a whole text cut at cuts."""
+        ids, open_word, at = [], [], 0
         for stop in [*cuts, len(text)]:
             if stop <= at:
                 continue
             head, body, tail = self._chunk(text[at:stop])
             at = stop
-            if body is None:  # no white space yet: the join goes on
-                open_word += head
-                continue
-            for n, i, d in (self._join(open_word + head), body):
-                if n:
-                    count += n
-                    ids.append(i)
-                    decoded.append(d)
-            open_word = tail
-        n, i, d = self._join(open_word)
-        if n:
-            count += n
-            ids.append(i)
-            decoded.append(d)
-        return count, b" ".join(ids), b" ".join(decoded)
-
-    def _join(self, word: bytes) -> tuple[int, bytes, bytes]:
-        found = self.words.encode([word]) if word else []
-        return found[0][:3] if found else (0, b"", b"")
+            open_word.append(head)
+            if body is not None:  # white space: the join before it is whole
+                ids.append(self._join(open_word))
+                ids.append(body)
+                open_word = [tail]
+        ids.append(self._join(open_word))
+        return b"".join(ids)
+
+    def _join(self, parts: list[bytes]) -> bytes:
+        word = b"".join(parts)
+        return self.words.encode([word]) if word else b""
+
+    def texts(self, ids: bytes) -> tuple[int, bytes, bytes]:
+        """(number of ids, the ids as decimal text, the decoded text)."""
+        numbers = np.frombuffer(ids, "<u4").tolist()
+        return len(numbers), b" ".join([self.decimal[i] for i in numbers]), b" ".join([self.names[i] for i in numbers])
 
 
 _codecs: dict[tuple[str, type], WordCodec | ChunkCodec] = {}
@@ -186,14 +237,15 @@ def _encoder(path: str, out: Callable[[bytes], str]):
     def run(batches):
         codec = worker_codec(path, ChunkCodec)
         for ids, data, offsets, raw in _texts(batches):
+            codec.words.learn(set(raw.split()))
             cuts = cut_points(data)
             at = np.searchsorted(cuts, offsets)
             rows = []
             for i in range(len(ids)):
                 begin, end = int(offsets[i]), int(offsets[i + 1])
                 own = (cuts[at[i] : at[i + 1]] - begin).tolist()
-                rows.append(codec.encode(raw[begin:end], own))
-            yield pa.RecordBatch.from_arrays([ids, pa.array([r[0] for r in rows], pa.int64()), *(pa.array([out(r[k]) for r in rows], pa.string()) for k in (1, 2))], _NAMES)
+                rows.append([f(x) if f else x for f, x in zip((None, out, out), codec.texts(codec.encode(raw[begin:end], own)), strict=True)])
+            yield pa.RecordBatch.from_arrays([ids, pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[k] for r in rows], pa.string()) for k in (1, 2))], _NAMES)
 
     return run
 
@@ -225,10 +277,9 @@ def token_counter(path: str):
     """A mapInArrow function (doc_id, text) to (doc_id, n_tokens)."""
 
     def run(batches):
-        codec = worker_codec(path, WordCodec)
-        for ids, _, offsets, raw in _texts(batches):
-            counts = [sum([e[0] for e in codec.encode(raw[offsets[i] : offsets[i + 1]].split())]) for i in range(len(ids))]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(counts, pa.int64())], ["doc_id", "n_tokens"])
+        codec = worker_codec(path, BlockCodec)
+        for ids, data, offsets, _ in _texts(batches):
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(codec.encode_block(data, offsets)[1]), pa.int64())], ["doc_id", "n_tokens"])
 
     return run
 
@@ -238,13 +289,14 @@ def piece_maker(path: str, limit: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        codec = worker_codec(path, WordCodec)
-        for ids, _, offsets, raw in _texts(batches):
+        codec = worker_codec(path, BlockCodec)
+        for ids, data, offsets, _ in _texts(batches):
+            tokens, place = codec.encode_block(data, offsets)
             rows: list[tuple] = []
-            for doc, begin, stop in zip(ids.to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                tokens = b"".join([e[3] for e in codec.encode(raw[begin:stop].split())]) + end
-                for k in range(0, len(tokens), 4 * limit):
-                    part = tokens[k : k + 4 * limit]
+            for doc, begin, stop in zip(ids.to_pylist(), place[:-1].tolist(), place[1:].tolist(), strict=True):
+                own = tokens[begin:stop].tobytes() + end
+                for k in range(0, len(own), 4 * limit):
+                    part = own[k : k + 4 * limit]
                     rows.append((doc, k // (4 * limit), k // 4, len(part) // 4, zlib.crc32(part)))
             columns = list(zip(*rows, strict=True)) or [()] * 5
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]

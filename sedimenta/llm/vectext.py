@@ -66,13 +66,15 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Maximal runs of bytes for which is_word holds, in every text of a block; runs never cross texts."""
+    """Maximal runs of bytes for which is_word holds, in every text of a block; runs never cross texts, nor the places before bytes that split is true for."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, lower: bool = True):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, lower: bool = True, split: np.ndarray | None = None):
         self.data, self.offsets = data, offsets
         mask = is_word[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True
+        if split is not None:
+            edge[:-1] |= split
         before, after = np.empty_like(mask), np.empty_like(mask)
         before[1:], after[:-1] = mask[:-1], mask[1:]
         if len(mask):
