@@ -181,11 +181,15 @@ def split_name(decoded: Column) -> tuple[Column, Column]:
 def query_pairs(query: Column) -> Column:
     """array<struct<k, v>> of a query in order, both sides sanitised; parts without '=' have an empty value."""
     clean = F.regexp_replace(F.replace(_text(query), F.lit("&amp;"), F.lit("&")), r"\A&+|&+\z", "")
-    side = lambda x: sanitize_token(percent_decode(F.replace(x, F.lit("+"), F.lit(" "))))
     parts = F.filter(F.split(clean, "&", -1), lambda p: p != "")
-    return F.transform(
-        parts,
-        lambda p: F.struct(
-            side(F.substring_index(p, "=", 1)).alias("k"), side(F.when(F.instr(p, "=") > 0, p.substr(F.instr(p, "=") + F.lit(1), F.length(p))).otherwise("")).alias("v")
-        ),
-    )
+    keys = F.transform(parts, lambda p: F.substring_index(p, "=", 1))
+    values = F.transform(parts, lambda p: F.when(F.instr(p, "=") > 0, p.substr(F.instr(p, "=") + F.lit(1), F.length(p))).otherwise(""))
+    return F.arrays_zip(_tokens(keys).alias("k"), _tokens(values).alias("v"))
+
+
+def _tokens(sides: Column) -> Column:
+    """Sides of a query, decoded and sanitised. Decoding is done twice, as a query's sides and as tokens."""
+    blanks = F.transform(sides, lambda x: F.replace(x, F.lit("+"), F.lit(" ")))
+    coded = F.exists(sides, lambda x: F.contains(x, F.lit("%")))
+    plain = F.when(coded, udfs.unquote_all(udfs.unquote_all(blanks))).otherwise(blanks)
+    return F.transform(plain, lambda x: _safe(F.replace(x, F.lit("&amp;"), F.lit("&"))))

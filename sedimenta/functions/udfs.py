@@ -22,6 +22,7 @@ def _each(function):
 unescape = F.pandas_udf(_each(lambda t: html.unescape(t) if "&" in t else t), T.StringType())
 unescape_all = F.pandas_udf(_each(lambda a: [html.unescape(t) if "&" in t else t for t in a]), T.ArrayType(T.StringType()))
 unquote = F.pandas_udf(_each(_unquote), T.StringType())
+unquote_all = F.pandas_udf(_each(lambda a: [_unquote(t) for t in a]), T.ArrayType(T.StringType()))
 casefold = F.pandas_udf(_each(str.casefold), T.StringType())
 
 

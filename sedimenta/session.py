@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,3 +42,12 @@ def cut_lineage(df):
     """Materialise df once in the checkpoint folder; later plans read those files."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def share_package(spark: SparkSession) -> SparkSession:
+    """Lets Python workers on this machine find the package wherever the driver was started; a cluster gets it by --py-files or an image."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+    return spark
