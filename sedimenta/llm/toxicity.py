@@ -43,10 +43,11 @@ def word_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ve
 
 
 def _originals(words: vectext.Words) -> np.ndarray:
-    """By text, the first of those that seem to be copies of it: they share the smallest hash of four successive words."""
-    smallest = [s[0] if len(s) else np.uint64(0) for s in vectext.shingle_sets(words, 4)]
-    _, first, back = np.unique(smallest, return_index=True, return_inverse=True)
-    return first[back]
+    """By text, the first of those that seem to be copies of it: three minima of hashes of four successive words agree."""
+    none = (np.uint64(0),) * 3
+    minima = [tuple(h.min() for h in (s, ~s, vectext.mix(s))) if len(s) else none for s in vectext.shingle_sets(words, 4)]
+    _, first, back = np.unique(np.array(minima, np.uint64), axis=0, return_index=True, return_inverse=True)
+    return first[back.ravel()]
 
 
 def _seeds(ids: np.ndarray, words: vectext.Words, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
