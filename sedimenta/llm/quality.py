@@ -114,7 +114,11 @@ def fit(sample: pa.Table, seen: list[int]) -> Model:
     prior = (seen[1] + 1) / (sum(seen) + 2)
     if len(set(labels.tolist())) < 2:
         return Model(None, None, prior)
-    values, place, size = line_features(*vectext.flat(sample["text"].combine_chunks()))
+    texts = sample["text"].combine_chunks()
+    # By blocks, for the driver's memory.
+    parts = [line_features(*vectext.flat(texts.slice(start, stop - start))) for start, stop in vectext.blocks(texts)]
+    values, size = np.concatenate([p[0] for p in parts]), np.concatenate([p[2] for p in parts])
+    place = np.cumsum(np.concatenate([np.zeros(1, np.int64), *(np.diff(p[1]) for p in parts)]))
     owner = np.repeat(np.arange(len(labels)), np.diff(place))
     y = labels[owner].astype(float)
     chain = crf.train(None, values, place, y, epochs=4, batch_positions=6000, rate=0.05, least_steps=100)

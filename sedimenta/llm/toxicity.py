@@ -42,19 +42,23 @@ def word_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ve
     return np.stack(columns, 1).astype(np.int32) if len(words) else np.zeros((0, len(columns)), np.int32), words
 
 
-def _originals(words: vectext.Words) -> np.ndarray:
-    """By text, the first of those that seem to be copies of it: three minima of hashes of four successive words agree."""
+def _minima(words: vectext.Words) -> np.ndarray:
+    """By text, three minima of hashes of four successive words."""
     none = (np.uint64(0),) * 3
-    minima = [tuple(h.min() for h in (s, ~s, vectext.mix(s))) if len(s) else none for s in vectext.shingle_sets(words, 4)]
-    _, first, back = np.unique(np.array(minima, np.uint64), axis=0, return_index=True, return_inverse=True)
+    rows = [tuple(h.min() for h in (s, ~s, vectext.mix(s))) if len(s) else none for s in vectext.shingle_sets(words, 4)]
+    return np.array(rows, np.uint64).reshape(-1, 3)
+
+
+def _originals(minima: np.ndarray) -> np.ndarray:
+    """By text, the first of those that seem to be copies of it: their minima agree."""
+    _, first, back = np.unique(minima, axis=0, return_index=True, return_inverse=True)
     return first[back.ravel()]
 
 
-def _seeds(ids: np.ndarray, words: vectext.Words, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _seeds(ids: np.ndarray, place: np.ndarray, original: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(features whose toxic documents are too many for chance, features in SUPPORT documents), tables of booleans. Copies count once."""
     size = 1 << TABLE_BITS
-    original = _originals(words)
-    owner = np.repeat(original, np.diff(words.place)).astype(np.int64)
+    owner = np.repeat(original, np.diff(place)).astype(np.int64)
     tables = np.zeros((2, size))
     for column in ids.T:
         pairs = np.unique(owner * size + column)
@@ -104,16 +108,23 @@ def fit(sample: pa.Table, seen: list[int]) -> Model:
     prior = (seen[1] + 1) / (sum(seen) + 2)
     if len(set(labels.tolist())) < 2:
         return Model(None, None, prior)
-    ids, words = word_features(*vectext.flat(sample["text"].combine_chunks()))
-    owner = np.repeat(np.arange(len(labels)), np.diff(words.place))
-    seeds, supported = _seeds(ids, words, labels)
+    texts = sample["text"].combine_chunks()
+    parts, counts, minima = [], [np.zeros(1, np.int64)], []
+    for start, stop in vectext.blocks(texts):  # by blocks, for the driver's memory
+        found, words = word_features(*vectext.flat(texts.slice(start, stop - start)))
+        parts.append(found)
+        counts.append(np.diff(words.place))
+        minima.append(_minima(words))
+    ids, place = np.concatenate(parts), np.cumsum(np.concatenate(counts))
+    owner = np.repeat(np.arange(len(labels)), np.diff(place))
+    seeds, supported = _seeds(ids, place, _originals(np.concatenate(minima)), labels)
     marked = seeds[ids[:, : 1 + len(PREFIXES)]].any(1) & (labels[owner] == 1)
     # Rare features share a slot whose weight is then taken away, so that they tell nothing.
     none = int(np.flatnonzero(~supported)[0]) if not supported.all() else 0
     ids = np.where(supported[ids], ids, none)
-    chain = crf.train(ids, None, words.place, marked.astype(float), n_sparse=1 << TABLE_BITS, epochs=4, batch_positions=30_000, rate=0.05, l2=1e-5, least_steps=150)
+    chain = crf.train(ids, None, place, marked.astype(float), n_sparse=1 << TABLE_BITS, epochs=4, batch_positions=30_000, rate=0.05, l2=1e-5, least_steps=150)
     chain.sparse[~supported] = 0.0
-    features = _document(chain.marginals(ids, None, words.place), words.place)
+    features = _document(chain.marginals(ids, None, place), place)
     share = np.array(seen) / np.maximum(np.bincount(labels, minlength=2), 1)
     return Model(chain, crf.logistic(features, labels, share[labels] / share.max()), prior)
 
