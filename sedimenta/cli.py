@@ -127,7 +127,7 @@ def main(argv: list[str] | None = None) -> int:
     p = commands.add_parser("prepare")
     p.add_argument("archive_root")
     p.add_argument("out")
-    p.add_argument("--sources", nargs="+", default=["sobresites_com", "sobresites_com_br"])
+    p.add_argument("--sources", nargs="+", required=True, help="folders below archive_root, in the order in which they count")
     p.add_argument("--copy", action="store_true")
     p = commands.add_parser("build")
     p.add_argument("input_root")

@@ -84,6 +84,7 @@ def markup_to_text(value: Column) -> Column:
 
 def display_name(value: Column) -> Column:
     """A shown name without the title of a profile page before it; the forum's own name is no name."""
+    # Titles of profile pages, and the name of the forum.
     value = F.regexp_replace(normalize_whitespace(value), rf"(?iU)\A(?:{SPACE}*(?:exibir\s+perfil|view\s+profile)\s*::\s*)+", "")
     value = strip(value)
     return F.when(value.rlike(r"(?i)\A(?:f[oÃ³]rum\s+de\s+)?anime\s*-\s*sobresites\z"), "").otherwise(value)

@@ -60,8 +60,7 @@ def _finished(rows: DataFrame) -> DataFrame:
 def summary(entries: DataFrame) -> DataFrame:
     """One row of counters."""
     kept, topic = F.col("should_materialize_normalized"), F.col("logical_group_key").contains(":topic:") | F.col("logical_group_key").contains(":viewtopic:")
-    copies = entries.filter("physical_duplicate_group is not null").groupBy("physical_duplicate_group").agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > 1).alias("physical_duplicate_groups"))
-    counts = entries.agg(
+    return entries.agg(
         F.count("*").alias("files_scanned"),
         F.count_if(kept).alias("files_materialized"),
         F.count_if(~kept).alias("files_not_materialized"),
@@ -71,8 +70,8 @@ def summary(entries: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "error").alias("errors"),
         F.countDistinct("logical_group_key").alias("logical_groups"),
         F.countDistinct(F.when(topic, F.col("logical_group_key"))).alias("topic_groups"),
+        F.countDistinct(F.when(F.col("is_physical_duplicate"), F.col("physical_duplicate_group"))).alias("physical_duplicate_groups"),
     )
-    return counts.crossJoin(copies)
 
 
 def exceptions(entries: DataFrame) -> DataFrame:

@@ -6,17 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions import text
+from sedimenta.operators import forum
 
-_CRUMB = r"(?is)<a[^>]+class=\"linkstopo\"[^>]+href=\"FORUM\.asp\?FORUM_ID=(\d+)\"[^>]*>(.*?)</a>\s*&nbsp;>\s*&nbsp;(.*?)(?:<!--|</font>)"
 FIELDS = ("forum_key", "forum_id", "forum_title", "topic_title")
 
 
 def breadcrumb(html: Column) -> Column:
     """struct(forum_key, forum_id, forum_title, topic_title) of a page; null without a breadcrumb, or if both titles are empty."""
-    forum, title, topic = (F.regexp_extract(html, _CRUMB, k) for k in (1, 2, 3))
+    number, title, topic = (F.regexp_extract(html, forum.ASP_CRUMB, k) for k in (1, 2, 3))
     title, topic = text.html_to_line(title), text.html_to_line(topic)
-    found = F.struct(F.concat(F.lit("asp:forum:"), forum).alias("forum_key"), forum.alias("forum_id"), title.alias("forum_title"), topic.alias("topic_title"))
-    return F.when((forum != "") & ((title != "") | (topic != "")), found)
+    found = F.struct(F.concat(F.lit("asp:forum:"), number).alias("forum_key"), number.alias("forum_id"), title.alias("forum_title"), topic.alias("topic_title"))
+    return F.when((number != "") & ((title != "") | (topic != "")), found)
 
 
 def needs_repair() -> Column:

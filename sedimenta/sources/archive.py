@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.functions import classify, text, udfs
+from sedimenta.functions import classify, udfs
 from sedimenta.functions.ordering import walk_order
 
 KINDS = ["asp_topic", "asp_post", "asp_profile", "asp_members", "phpbb_viewtopic", "phpbb_profile", "phpbb_memberlist"]
@@ -94,8 +94,3 @@ def decode_pages(pages: DataFrame, mode: str = "hint", repair: bool = False) ->
 def usable(pages: DataFrame) -> DataFrame:
     """Pages for the parsers."""
     return pages.filter("error is null").select("rel", "kind", "domain", "ord", "html")
-
-
-def knowledge_of_pages(pages: DataFrame, title: Column, body: Column) -> Column:
-    """The text of a page under its title."""
-    return text.strip(F.concat_ws("\n", F.when(title != "", F.concat(F.lit("Tópico: "), title)), F.lit(""), body))
