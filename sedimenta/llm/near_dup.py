@@ -5,7 +5,7 @@ has a signature of POSITIONS minima, each cut to 16 bits. Two classes at a signa
 of at most DISTANCE are candidates: the signature is split into CHUNKS equal chunks, so one chunk has at most
 ERRORS = DISTANCE // CHUNKS differing positions (pigeonhole), and every choice of the positions of a chunk that are
 left is one index key. Whatever the errors are, one key of that chunk agrees, hence no pair within DISTANCE is missed.
-With POSITIONS 24 and DISTANCE 11 a pair of Jaccard similarity 0.8 is within DISTANCE with probability 0.9994 and
+With POSITIONS 24 and DISTANCE 11 a pair of Jaccard similarity 0.8 is within DISTANCE with probability 0.9990 and
 more similar ones with more; links are then confirmed on the full sets.
 
 No bucket is capped and no bucket's pairs are all emitted. First every member of a bucket is compared with the
