@@ -44,10 +44,12 @@ _BLOCK = _CONTAINER - {"label", "button", "select"} | {"p", "h1", "h2", "h3", "h
 _OTHER_TAG = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "fieldset"}
 _OTHER_WORD = {
     *"ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promoted banner".split(),
-    *"nav navbar navigation menu breadcrumb breadcrumbs sidebar side widget widgets footer header masthead toolbar topbar".split(),
     *"comment comments discussion disqus replies reply respond cookie cookies consent gdpr notice notices alert popup modal overlay".split(),
     *"share sharing social related recommended recommendations newsletter subscribe subscription signup login search pager pagination tags copyright legal disclaimer".split(),
 }
+#: Words that name other containers, or the layout of a container that holds them and the article too: an article within such a one is one.
+_LAYOUT_WORD = {*"nav navbar navigation menu breadcrumb breadcrumbs sidebar side widget widgets footer header masthead toolbar topbar".split()}
+_SURE, _PERHAPS = 2, 1
 _OTHER_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form"}
 _WORDS = re.compile(r"[a-z]+")
 
@@ -63,12 +65,12 @@ class Page:
     def __init__(self, source: str):
         self.tokens: list[int] = []
         #: (place in tokens, block number, inside a container of another purpose, inside an article, raw text)
-        self.texts: list[tuple[int, int, bool, bool, str]] = []
+        self.texts: list[tuple[int, int, int, bool, str]] = []
         self._parse(source)
 
     def _parse(self, source: str) -> None:
-        stack: list[tuple[str, str, bool, bool]] = []  # (tag, path, other, article)
-        path, other, article = "", False, False
+        stack: list[tuple[str, str, int, bool]] = []  # (tag, path, other, article)
+        path, other, article = "", 0, False
         block, at = 0, 0
         find = _TOKEN.search
         lowered = None
@@ -108,7 +110,7 @@ class Page:
                 depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
                 if depth is not None:
                     del stack[depth:]
-                    path, other, article = stack[-1][1:] if stack else ("", False, False)
+                    path, other, article = stack[-1][1:] if stack else ("", 0, False)
                 self.tokens.append(xxhash.xxh64_intdigest(f"{path}</{tag}"))
                 continue
             named = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)} if attributes else {}
@@ -120,10 +122,14 @@ class Page:
             # An article's own header holds its title.
             if article:
                 words.discard("header")
+            starts = tag in ("article", "main") or role in ("main", "article")
             if not root and (tag in _OTHER_TAG or words & _OTHER_WORD or role in _OTHER_ROLE or "hidden" in attributes.lower().split() or tag == "header" and not article):
-                other = True
-            if tag in ("article", "main") or role in ("main", "article"):
+                other = _SURE
+            elif not root and not starts and words & _LAYOUT_WORD:
+                other = max(other, _PERHAPS)
+            if starts:
                 article = True
+                other = 0 if other == _PERHAPS else other
             path = f"{path}/{signature}"
             stack.append((tag, path, other, article))
 

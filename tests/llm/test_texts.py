@@ -79,6 +79,8 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="<p>no</p>";<
 
 def test_article_by_containers():
     assert html_extract.Page(PAGE).article({}) == "A & B\n\none two three four\n\nfive é\n\nsix"
+    layout = '<div class="with-sidebar"><main class="nav-layout"><p>text</p><div class="sidebar">side</div></main><div class="comments"><article>no</article></div><aside><article>no</article></aside></div>'
+    assert html_extract.Page(layout).article({}) == "text"
     assert html_extract.Page("").article({}) == "" and html_extract.Page("<p>a < b <c").article({}) == "a < b <c"
     assert html_extract.Page("<script>never closed <p>x").article({}) == ""
 
