@@ -210,14 +210,9 @@ class ChunkCodec:
         return len(numbers), b" ".join([self.decimal[i] for i in numbers]), b" ".join([self.names[i] for i in numbers])
 
 
-_codecs: dict[tuple[str, type], WordCodec | ChunkCodec] = {}
-
-
 def worker_codec(path: str, kind: type):
-    """One codec a Python worker, which Spark reuses across tasks."""
-    if (path, kind) not in _codecs:
-        _codecs[path, kind] = kind(path)
-    return _codecs[path, kind]
+    """One codec a Python worker, which Spark reuses across tasks; other operators drop it (vectext.release)."""
+    return vectext.held((path, kind), lambda: kind(path))
 
 
 def _texts(batches, id_at: int = 0, text_at: int = 1) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, bytes]]:

@@ -44,6 +44,7 @@ _SET_SCHEMA = "doc_id long, set_hash binary, shingles binary"
 
 def _texts(batches, width):
     """Blocks of (ids, shingle sets) of the batches of (doc_id, text)."""
+    vectext.release()
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
         for start, stop in vectext.blocks(texts):
@@ -95,6 +96,7 @@ def _full_sets(width):
 
 def _index_keys(batches):
     """(class, keys of all chunks and choices) of (class, signature)."""
+    vectext.release()
     for batch in batches:
         raw = batch.column(1).to_pylist()
         signatures = np.frombuffer(b"".join(raw), np.uint16).reshape(len(raw), POSITIONS).astype(np.uint64)
@@ -115,6 +117,7 @@ def _confirm(percent):
     """Keeps the pairs with 100 * intersection >= percent * union."""
 
     def run(batches):
+        vectext.release()
         for batch in batches:
             left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             good = []
@@ -149,6 +152,7 @@ def _has_near(percent):
     """The rows of a block that have a candidate, of (hub, qb, mb, query, cls, component, size, signature)."""
 
     def run(table: pa.Table) -> pa.Table:
+        vectext.release()
         queries, members, component, size = _sides(table)
         signatures = _signatures_of(table)
         keep = np.zeros(len(table), bool)
@@ -166,6 +170,7 @@ def _links_within(percent):
     """The confirmed links (a, b) of a block whose rows have their shingles too."""
 
     def run(table: pa.Table) -> pa.Table:
+        vectext.release()
         queries, members, component, size = _sides(table)
         signatures, cls = _signatures_of(table), np.asarray(table["cls"].combine_chunks())
         shingles = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]

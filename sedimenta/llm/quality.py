@@ -134,6 +134,7 @@ def fit(sample: pa.Table, seen: list[int]) -> Model:
 
 def _scorer(model: Model):
     def run(batches):
+        vectext.release()
         for batch in batches:
             for start, stop in vectext.blocks(batch.column(1)):
                 scores = model.score(*vectext.flat(batch.column(1).slice(start, stop - start)))

@@ -40,6 +40,7 @@ def row_filter(scores: Callable[[pa.Array], np.ndarray], at: int, keep: Callable
     """A mapInArrow function that keeps the rows whose text, in column number at, has a score that keep accepts."""
 
     def run(batches):
+        vectext.release()
         for batch in batches:
             for start, stop in vectext.blocks(batch.column(at)):
                 part = batch.slice(start, stop - start)

@@ -153,6 +153,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("scor
 
 def _scorer(model: Model, threshold: float):
     def run(batches):
+        vectext.release()
         for batch in batches:
             for start, stop in vectext.blocks(batch.column(1)):
                 scores, toxic, words = model.score(*vectext.flat(batch.column(1).slice(start, stop - start)))

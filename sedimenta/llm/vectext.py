@@ -102,6 +102,21 @@ class Words:
             return mix(value + (ends - self.starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+_held: dict = {}
+
+
+def held(key, make):
+    """What make() gives, kept in this Python worker under key until release()."""
+    if key not in _held:
+        _held[key] = make()
+    return _held[key]
+
+
+def release() -> None:
+    """Drops what other operators keep in this worker, which Spark hands from one to the next."""
+    _held.clear()
+
+
 def byte_class(members: bytes) -> np.ndarray:
     out = np.zeros(256, bool)
     out[np.frombuffer(members, np.uint8)] = True
