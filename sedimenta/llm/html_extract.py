@@ -1,7 +1,8 @@
 """Main text of web pages by equivalence-class template deduction (operator 3).
 
 A page is a sequence of tokens: tags and text nodes, each with the path of the containers around it. The occurrence
-vector of a token tells how often each page of a host has it. Tokens of one host with equal vectors form an
+vector of a token tells how often each distinct page of a host has it; pages with the same text are copies and count
+once, for what copies share is their article as much as their template. Tokens of one host with equal vectors form an
 equivalence class; classes that are large (MIN_SIZE tokens) and frequent (SHARE of the host's pages, MIN_PAGES at
 least) are taken for the template from which the pages were made. Vectors are never built: a token's pages each add
 two 31-bit hashes of (page, count) to sums, which partial aggregation makes small before any shuffle, and tokens with
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm import vectext
+from sedimenta.llm import exact_dedup, vectext
 from sedimenta.session import cut_lineage
 
 MIN_SIZE, MIN_PAGES, SHARE = 3, 3, 0.5
@@ -52,6 +53,8 @@ _LAYOUT_WORD = {*"nav navbar navigation menu breadcrumb breadcrumbs sidebar side
 _SURE, _PERHAPS = 2, 1
 _OTHER_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form"}
 _WORDS = re.compile(r"[a-z]+")
+#: What is not text of a page (Java): raw content, comments, tags, white space.
+_NOT_TEXT = rf"(?is)<({'|'.join(sorted(_RAW))})\b.*?(?:</\1|\z)|<!--.*?(?:-->|\z)|<[/!?]?[a-z][^>]*>|\s+"
 
 
 def host_of(url: Column) -> Column:
@@ -59,6 +62,11 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def text_of(html: Column) -> Column:
+    """A hash that pages with the same text share, whatever their tags, attributes and white space."""
+    return F.xxhash64(F.regexp_replace(html, _NOT_TEXT, ""))
+
+
 class Page:
     """The tokens of a page in order, and of its text nodes: token, block, whether other or article containers hold it, text."""
 
@@ -174,15 +182,30 @@ def _vectors(batches):
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(c, pa.int64()) for c in (tokens, first, second))], ["host", "token", "a", "b"])
 
 
+def distinct_pages(pages: DataFrame, counts: DataFrame) -> DataFrame:
+    """(host, page, html) with one row for each (host, page), that of the smallest html; counts is (host, page, n).
+
+    Pages that occur more than once are found by a bitmap of fixed size, and only they are shuffled. A false bit only
+    sends a page through the shuffle too.
+    """
+    bitmap = cut_lineage(exact_dedup._bitmap(counts.filter("n > 1"), "host", "page"))
+    marked = exact_dedup._marked(pages, bitmap, "_maybe", "host", "page")
+    again = marked.filter("_maybe").groupBy("host", "page").agg(F.min("html").alias("html"))
+    return marked.filter("not _maybe").select("host", "page", "html").union(again)
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, tokens, classes) of (host, page, html): tokens of large and frequent classes, with numbers of the classes.
 
+    Rows with the same host and page are copies and count as one page.
+
     A token that is in SHARE of the host's pages can only be one of 1 / SHARE times the tokens of a page, so the lists
     are bounded by the size of pages whatever the number of pages.
     """
-    rows = pages.mapInArrow(_vectors, "host string, token long, a long, b long")
+    counts = cut_lineage(pages.groupBy("host", "page").agg(F.count("*").alias("n")))
+    rows = distinct_pages(pages, counts).mapInArrow(_vectors, "host string, token long, a long, b long")
     vectors = rows.groupBy("host", "token").agg(F.count("*").alias("pages"), F.sum("a").alias("a"), F.sum("b").alias("b")).filter(F.col("pages") >= MIN_PAGES)
-    sizes = pages.groupBy("host").agg(F.count("*").alias("all"))
+    sizes = counts.groupBy("host").agg(F.count("*").alias("all"))
     frequent = cut_lineage(vectors.join(sizes, "host").filter(F.col("pages") >= SHARE * F.col("all")))
     large = frequent.groupBy("host", "pages", "a", "b").agg(F.count("*").alias("size"), F.min("token").alias("class")).filter(F.col("size") >= MIN_SIZE)
     kept = frequent.join(large, ["host", "pages", "a", "b"])
@@ -209,12 +232,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Character references are decoded, white space inside a block becomes one space, blocks are joined by blank lines.
     Null html counts as empty and gives an empty text. Pages without a host (null or malformed URLs) are taken for
-    one site. Repeated rows count as pages of their own. Hosts with fewer than MIN_PAGES pages have no template;
-    their articles are found by containers alone. Further columns of pages are not read.
+    one site. Repeated rows and pages with the same text count as one page. Hosts with fewer than MIN_PAGES distinct
+    pages have no template; their articles are found by containers alone. Further columns of pages are not read.
     """
     base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html")).withColumn("host", host_of(F.col("url")))
-    page = F.xxhash64("page_id", "url")
-    found = templates(base.select("host", page.alias("page"), "html"))
+    found = templates(base.select("host", text_of(F.col("html")).alias("page"), "html"))
     # Pages meet their template in a sort-merge join: a host with very many pages is split by adaptive execution.
     joined = base.join(found, "host", "left").select("host", "html", "tokens", "classes", "page_id", "url")
     kind = pages.schema[id_col].dataType.simpleString()

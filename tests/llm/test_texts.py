@@ -98,6 +98,22 @@ def test_template_without_containers(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+def test_copies_are_not_a_template(spark):
+    """Repeated rows and copies of an article count as one page, so the article is not taken for the host's template."""
+    copy = "<html><body><div id=content><p>a</p><p>b</p></div></body></html>"
+    other = lambda i: f"<html><title>{i}</title><body>\n<div id=content class=c{i}><p>c</p> <p>d</p></div></body></html>"
+    page = lambda i: f"<html><body><div><p>Welcome</p><p>Read this</p></div><div id=c><p>body {i}</p><p>more {i}</p></div><div>The end</div></body></html>"
+    rows = [(1, "http://same.org/", copy)] * 3 + [(i, f"http://same.org/{i}", copy) for i in (2, 3)]
+    rows += [(10 + i, f"http://marked.org/{i}", other(i)) for i in range(4)]
+    rows += [(20 + i, f"http://both.org/{i}", page(0 if i < 6 else i)) for i in range(10)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        k = r.page_id - 20
+        n = 0 if k < 6 else k
+        assert r.text == ("a\n\nb" if r.page_id < 10 else "c\n\nd" if k < 0 else f"body {n}\n\nmore {n}")
+
+
 def test_op3(spark, sf):
     import html
 
