@@ -92,7 +92,7 @@ SENTENCES = r"""
 mit | 4 | permission is hereby granted, free of charge | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
 mit | 3 | without restriction | to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell
 mit | 2 | shall be included in all copies | the above copyright notice and this permission notice shall be included in all copies or substantial portions
-mit | 2 | released under the mit | (?:released|licensed|distributed|available) under the (?:terms of the )?mit (?:license|licence)
+mit | 2 | mit licen | (?:released|licensed|distributed|available) under the (?:terms of the )?mit (?:license|licence)
 bsd | 4 | redistribution and use | redistribution and use in source and binary forms with or without modification are permitted
 bsd | 2 | redistributions of source code | redistributions of source code must retain the (?:above )?copyright notice
 bsd | 2 | redistributions in binary form | redistributions in binary form must reproduce the (?:above )?copyright notice
@@ -125,7 +125,7 @@ bsl | 4 | boost software license | distributed under the boost software license
 unlicense | 4 | public domain | this is free and unencumbered software released into the public domain
 public-domain | 2 | public domain | (?:released|placed|dedicated|donated) (?:in|into|to) the public domain
 public-domain | 1 | public domain | in the public domain
-cc0 | 3 | creative commons | to the extent possible under law the (?:author|person)
+cc0 | 3 | to the extent | to the extent possible under law the (?:author|person)
 creative-commons | 2 | creativecommons.org | (?:https? )?(?:www )?creativecommons org (?:licenses|publicdomain)
 creative-commons | 1 | creative commons | creative commons(?: license| licence)?
 proprietary | 2 | all rights reserved | all rights reserved

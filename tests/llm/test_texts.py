@@ -140,6 +140,48 @@ def test_license_rules_are_ordered_and_many():
     assert len(rules) >= 300 and {p for _, p, _, _ in rules} == {1, 2, 3, 4}
 
 
+def words_of(pattern):
+    """Texts that a parsed pattern matches: all choices, runs at their shortest and, up to one more, longer."""
+    out = [""]
+    for kind, value in pattern:
+        match str(kind):
+            case "LITERAL":
+                more = [chr(value)]
+            case "ANY":
+                more = ["x"]
+            case "IN":
+                more = [chr(value[0][1][0] if str(value[0][0]) == "RANGE" else value[0][1])]
+            case "SUBPATTERN":
+                more = words_of(value[3])
+            case "BRANCH":
+                more = [x for part in value[1] for x in words_of(part)]
+            case "MAX_REPEAT" | "MIN_REPEAT":
+                low, high, part = value
+                more = [x * n for x in words_of(part) for n in {low, min(high, low + 1)}]
+            case _:
+                raise ValueError(kind)
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_matches_contain_their_keyword():
+    """A rule is only tried on texts with its keyword, so each text that its pattern matches must contain it."""
+    for label, _, keyword, pattern in license_rules.rules():
+        plain = pattern.removeprefix(f"(?i){license_rules._BEFORE}").removesuffix(license_rules._AFTER).replace(license_rules.GAP, " ")
+        matches = words_of(re._parser.parse(plain))
+        assert matches and all(license_scan._squeeze(keyword) in x for x in matches), (label, keyword, plain)
+
+
+def test_alternatives_of_sentences(spark):
+    cases = {
+        1: ("Licensed under the MIT License", {"mit"}),
+        2: ("Available under the terms of the MIT licence.", {"mit"}),
+        3: ("To the extent possible under law, the person has waived all rights.", {"cc0"}),
+    }
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in cases.items()], "doc_id long, text string")
+    assert {r.doc_id: set(filter(None, r.labels.split(","))) for r in license_scan.license_scan(rows).collect()} == {i: labels for i, (_, labels) in cases.items()}
+
+
 def test_op4(spark, odd, clashing, empty, sf, sample):
     for docs in (odd, clashing):
         rows = license_scan.license_scan(docs).join(odd.select(F.col("doc_id").alias("d"), "text").distinct(), F.col("doc_id").eqNullSafe(F.col("d"))).collect()
