@@ -50,7 +50,9 @@ _OTHER_WORD = {
 }
 #: Words that name other containers, or the layout of a container that holds them and the article too: an article within such a one is one.
 _LAYOUT_WORD = {*"nav navbar navigation menu breadcrumb breadcrumbs sidebar side widget widgets footer header masthead toolbar topbar".split()}
-_SURE, _PERHAPS = 2, 1
+_SURE, _NAMED, _PERHAPS = 3, 2, 1
+#: In an article that is, or is held by, a container of which only a word says that it has another purpose.
+_DOUBT = -1
 _OTHER_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form"}
 _WORDS = re.compile(r"[a-z]+")
 #: What is not text of a page (Java): raw content, comments, tags, white space.
@@ -72,6 +74,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tokens: list[int] = []
+        self.doubts = 0
         #: (place in tokens, block number, inside a container of another purpose, inside an article, raw text)
         self.texts: list[tuple[int, int, int, bool, str]] = []
         self._parse(source)
@@ -131,11 +134,17 @@ class Page:
             if article:
                 words.discard("header")
             starts = tag in ("article", "main") or role in ("main", "article")
-            if not root and (tag in _OTHER_TAG or words & _OTHER_WORD or role in _OTHER_ROLE or "hidden" in attributes.lower().split() or tag == "header" and not article):
+            outer = other
+            if not root and (tag in _OTHER_TAG or role in _OTHER_ROLE or "hidden" in attributes.lower().split() or tag == "header" and not article):
                 other = _SURE
+            elif not root and words & _OTHER_WORD:
+                other = max(other, _NAMED)
             elif not root and not starts and words & _LAYOUT_WORD:
                 other = max(other, _PERHAPS)
             if starts:
+                if other == _NAMED and (not article or outer <= 0):
+                    self.doubts += outer != _DOUBT
+                    other = _DOUBT
                 article = True
                 other = 0 if other == _PERHAPS else other
             path = f"{path}/{signature}"
@@ -158,8 +167,21 @@ class Page:
         """The text in the slots of the article: blocks joined by blank lines."""
         fixed = self.template(classes) if classes else set()
         within = any(place >= 0 and inside and not other for place, _, other, inside, _ in self.texts)
+        # An article in doubt is one if nothing else is left, or if it is the only one and most of the text.
+        doubt, rest = 0, 0
+        for place, _, other, inside, text in self.texts:
+            if other == _DOUBT:
+                doubt += len(text.strip())
+            elif not other and (inside or not within and place not in fixed):
+                rest += len(text.strip())
+        if doubt and (not rest or self.doubts == 1 and doubt > rest):
+            within = True
+        else:
+            doubt = 0
         blocks: dict[int, list[str]] = {}
         for place, block, other, inside, text in self.texts:
+            if doubt and other == _DOUBT:
+                other = 0
             if other or (within and not inside) or (not within and place in fixed):
                 continue
             blocks.setdefault(block, []).append(text)

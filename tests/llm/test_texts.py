@@ -85,6 +85,15 @@ def test_article_by_containers():
     assert html_extract.Page("<script>never closed <p>x").article({}) == ""
 
 
+def test_a_word_does_not_remove_the_only_article():
+    text = lambda x: html_extract.Page(x).article({})
+    assert text('<p>top</p><div class="page with-ads"><article><p>some text</p><div class="ad">Buy</div></article></div>') == "some text"
+    assert text('<article class="post no-comments"><p>text</p><div class="share">x</div></article>') == "text"
+    assert text('<main><h1>Hi</h1><article class="post tags-x social"><p>long text</p></article></main>') == "Hi\n\nlong text"
+    assert text('<div id="c"><p>short</p></div><div class="comments"><article>a long one</article><article>another</article></div>') == "short"
+    assert text('<main><p>a text of some length</p><section id="comments"><article>me too, and at length, for once</article></section></main>') == "a text of some length"
+
+
 def test_template_without_containers(spark):
     """Without article tags, what all pages of a host have is the template, and the rest its slots."""
     page = lambda i: f"<html><body><div class='w'><p>Welcome to us</p><p>Read this</p></div><div class='c'><p>body {i} text</p></div><div class='z'>The end</div></body></html>"
