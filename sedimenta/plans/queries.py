@@ -296,7 +296,11 @@ def metadata_patch(spark, sf_dir):
         F.concat(F.lit("a\\"), F.col("o_orderkey"), F.lit(".html")).alias("first_source_file"),
     )
     crumb = F.format_string('<a class="linkstopo" href="FORUM.asp?FORUM_ID=%d">%s</a> &nbsp;> &nbsp;<b>Pedido</b>&nbsp;&amp; %d</font>', "o_custkey", "o_orderpriority", "o_orderkey")
-    pages = orders.filter("o_orderkey % 3 = 0").select(F.concat(F.lit("a/"), F.col("o_orderkey"), F.lit(".html")).alias("path"), crumb.alias("html"))
+    # A page for every order: a third with a breadcrumb, a third with one whose titles are empty, a third without.
+    untitled = F.format_string('<a class="linkstopo" href="FORUM.asp?FORUM_ID=%d"> </a> &nbsp;> &nbsp;<b> </b>&nbsp;</font>', "o_custkey")
+    bare = F.format_string("<p>Pedido %d</p>", "o_orderkey")
+    html = F.when(F.col("o_orderkey") % 3 == 0, crumb).when(F.col("o_orderkey") % 3 == 1, untitled).otherwise(bare)
+    pages = orders.select(F.concat(F.lit("a/"), F.col("o_orderkey"), F.lit(".html")).alias("path"), html.alias("html"))
     return repair.patched(lost, repair.topic_patches(lost, pages)).select("topic_key", "forum_id", "forum_key", "forum_title", "topic_title")
 
 

@@ -45,3 +45,12 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(registry.queries()) == set(registry.oracle_sql())
+
+
+def test_metadata_patch_has_a_page_for_every_order(spark, monkeypatch):
+    from sedimenta.plans import queries
+
+    seen, patches = [], queries.repair.topic_patches
+    monkeypatch.setattr(queries.repair, "topic_patches", lambda lost, pages: seen.append((lost, pages)) or patches(lost, pages))
+    queries.metadata_patch(spark, "/root/testdata/sf0.001")
+    assert [(lost.count(), pages.count()) for lost, pages in seen] == [(1500, 1500)]
