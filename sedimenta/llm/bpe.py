@@ -1,36 +1,44 @@
 """BPE encoding by content-defined chunk reuse (operator 5), and the decoding of what it gives.
 
-The bytes of a text are cut where a rolling hash of the last WINDOW bytes has its low CUT_BITS bits clear, so a passage
-that several documents share is cut into the same chunks wherever it stands. A chunk is encoded once and kept in a
-cache of bounded size in each Python worker; documents that share it reuse its tokens.
-
-A chunk is kept as three parts: the bytes before its first white space (head), the tokens of what lies between its
-first and last white space (body), and the bytes after its last one (tail). The tokenizer drops white space and never
-joins across it, so a body has the same tokens in any text. Heads and tails may be halves of a word: each join of
-chunks is repaired by encoding tail and head together, and goes on over further chunks until white space is met; there
-the tokens agree exactly with those of the whole text. Words are encoded by the tokenizer itself, each distinct one
-once while it is in the cache.
-
-Reuse stays within a worker: sending chunks through a shuffle to share them across machines would move the whole
-corpus to save encoding the few shared parts (see the README).
+The bytes of a text are cut where a rolling hash of the last ROLLED bytes has CUT_BITS clear bits, so a passage that
+several documents share is cut into the same chunks wherever it stands. Documents that share chunks are brought
+together: they are dealt and sorted by the smallest of their chunks' hashes, so that a chunk's copies meet in one
+worker, where it is encoded once and kept (by digest, CHUNK_BYTES_KEPT at most). Only chunks that are not there, and
+joins, go through the tokenizer.
+
+A chunk is kept as the ids of what lies between its first and its last white space, and the bytes before and after.
+The tokenizer drops white space and never joins across it, so those ids are the same in any text. Ends may be halves
+of a word: each join of chunks is repaired by encoding the end of one and the beginning of the next together, and goes
+on over further chunks until white space is met on both sides; there the ids agree exactly with those of the whole
+text.
+
+A single text of more than a block is taken window by window, in chunks too, so that its ids are never all in memory.
+One word of many megabytes is given to the tokenizer whole, as the library's own result for it needs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import io
+import itertools
 import os
+import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from sedimenta.llm import vectext
 
 TOKENIZER = "word_bpe_49k.json"
-WINDOW, CUT_BITS = 16, 9
+#: Bytes that the rolling hash sees, bits of it that are clear at a cut (so chunks have about 2**CUT_BITS bytes), bytes of a chunk at least.
+ROLLED, CUT_BITS, LEAST = 16, 9, 64
 #: What a worker keeps of words and of chunks, in bytes.
-WORD_BYTES_KEPT, CHUNK_BYTES_KEPT = 224 << 20, 32 << 20
+WORD_BYTES_KEPT, CHUNK_BYTES_KEPT = 224 << 20, 64 << 20
+
+_HEAD, _UP_TO_TAIL = re.compile(rb"[^ \t\n\x0b\x0c\r]*"), re.compile(rb".*[ \t\n\x0b\x0c\r]", re.S)
 
 _GEAR = (np.random.default_rng(977).integers(0, 1 << 32, 256, dtype=np.uint64)).astype(np.uint32)
 
@@ -42,16 +50,38 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def cut_points(data: np.ndarray) -> np.ndarray:
-    """Places after which a chunk ends, for a flat byte array: a gear hash over WINDOW bytes, by doubling."""
-    value = _GEAR[data]
-    width = 1
-    with np.errstate(over="ignore"):
-        while width < WINDOW:
-            further = value.copy()
-            further[width:] += value[:-width] << np.uint32(width)
-            value, width = further, 2 * width
-    # The oldest byte of the window still reaches the bits just below WINDOW.
-    return np.flatnonzero((value >> np.uint32(WINDOW - CUT_BITS)) & np.uint32((1 << CUT_BITS) - 1) == 0) + 1
+    """Places of one text, after its first ROLLED bytes, where a gear hash of the ROLLED bytes before it (by doubling) says that a chunk ends."""
+    found = []
+    for low in range(0, len(data), vectext.WINDOW):
+        left = max(low - ROLLED + 1, 0)
+        value = _GEAR[data[left : low + vectext.WINDOW]]
+        width = 1
+        with np.errstate(over="ignore"):
+            while width < ROLLED:
+                further = value.copy()
+                further[width:] += value[:-width] << np.uint32(width)
+                value, width = further, 2 * width
+        # The oldest byte of the window still reaches the bits just below ROLLED.
+        cut = (value >> np.uint32(ROLLED - CUT_BITS)) & np.uint32((1 << CUT_BITS) - 1) == 0
+        cut[: ROLLED - 1] = False
+        found.append(np.flatnonzero(cut) + left + 1)
+    return np.concatenate([np.zeros(0, np.int64), *found])
+
+
+def chunk_ranges(data: np.ndarray, base: int = 0) -> list[tuple[int, int]]:
+    """The chunks of one text, as ranges moved by base: LEAST bytes at least (but for the last), whole characters, and where they end depends on the bytes alone."""
+    cuts = cut_points(data)
+    for _ in range(3):  # never within a character
+        cuts = cuts[cuts < len(data)]
+        cuts = cuts + (data[cuts] & 0xC0 == 0x80)
+    out, at = [], 0
+    for cut in cuts.tolist():
+        if cut - at >= LEAST and cut < len(data):
+            out.append((at + base, cut + base))
+            at = cut
+    if at < len(data):
+        out.append((at + base, len(data) + base))
+    return out
 
 
 class WordCodec:
@@ -111,11 +141,18 @@ _ALNUM = vectext.byte_class(bytes([*range(48, 58), *range(65, 91), *range(97, 12
 _MARKS = vectext.byte_class(bytes(c for c in range(33, 127) if not chr(c).isalnum()))
 
 
+def _unit_starts(data: np.ndarray) -> np.ndarray:
+    """Marks that follow an ASCII letter or digit: the tokenizer's pieces never cross the place before one."""
+    out = np.zeros(len(data), bool)
+    out[1:] = _MARKS[data[1:]] & _ALNUM[data[:-1]]
+    return out
+
+
 class BlockCodec(WordCodec):
     """Ids of all texts of a block at once: only its distinct units are looked up.
 
     Units are words, cut before a mark that follows an ASCII letter or digit. The tokenizer's pieces never cross such
-    a place, so the ids are those of the whole text; texts with the name of a special token are encoded whole.
+    a place, so the ids are those of the whole text; a block with the name of a special token is cut into words only.
     """
 
     def __init__(self, path: str):
@@ -125,9 +162,8 @@ class BlockCodec(WordCodec):
     def encode_block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's begin)."""
         raw = data.tobytes()
-        split = np.zeros(len(data), bool)
-        split[1:] = _MARKS[data[1:]] & _ALNUM[data[:-1]]
-        units = vectext.Words(data, offsets, vectext.NOT_SPACE, lower=False, split=split)
+        special = any(name in raw for name in self.names)
+        units = vectext.Words(data, offsets, vectext.NOT_SPACE, lower=False, split=None if special else _unit_starts)
         if not len(units):
             return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
         _, first, back = np.unique(units.hashes(), return_index=True, return_inverse=True)
@@ -139,75 +175,92 @@ class BlockCodec(WordCodec):
         begin, count = (np.cumsum(sizes) - sizes)[back], sizes[back]
         ends = np.cumsum(count)
         ids = store[np.repeat(begin - ends + count, count) + np.arange(ends[-1])]
-        place = np.concatenate([[0], ends])[units.place]
-        if any(name in raw for name in self.names):
-            return self._with_whole(raw, offsets, ids, place)
-        return ids, place
+        return ids, np.concatenate([[0], ends])[units.place]
 
-    def _with_whole(self, raw: bytes, offsets: np.ndarray, ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        texts = []
-        for i in range(len(offsets) - 1):
-            text = raw[offsets[i] : offsets[i + 1]]
-            texts.append(np.array(self._ids([text.decode()])[0], "<u4") if any(name in text for name in self.names) else ids[place[i] : place[i + 1]])
-        return np.concatenate(texts), np.cumsum([0, *map(len, texts)])
+    def encode_windows(self, data: np.ndarray) -> Iterator[np.ndarray]:
+        """The ids of one text, window by window; no token crosses white space, where windows end."""
+        for start, stop in vectext.windows(data):
+            part = data[start:stop]
+            yield self.encode_block(part, np.array([0, len(part)]))[0]
 
 
-class ChunkCodec:
+class ChunkCodec(WordCodec):
     """Encodes texts chunk by chunk, with a bounded cache of chunks; see the module's text."""
 
     def __init__(self, path: str):
-        self.words = WordCodec(path)
-        size = self.words.tokenizer.get_vocab_size(with_added_tokens=True)
-        names = [self.words.tokenizer.id_to_token(i) for i in range(size)]
+        super().__init__(path)
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        names = [self.tokenizer.id_to_token(i) for i in range(size)]
         #: Ids as decimal text, and as tokens; the tokenizer's decoding joins tokens by spaces.
         self.decimal, self.names = [str(i).encode() for i in range(size)], [(n or "").encode() for n in names]
+        #: (bytes before the first white space, ids up to the last one or None if there is none, bytes after it) by digest.
         self.chunks: dict[bytes, tuple[bytes, bytes | None, bytes]] = {}
-        self.kept_bytes = self.reused = self.encoded = 0
-
-    def _chunk(self, chunk: bytes) -> tuple[bytes, bytes | None, bytes]:
-        """(head, ids of the body or None if there is no white space, tail)."""
-        if (known := self.chunks.get(chunk)) is not None:
-            self.reused += 1
-            return known
-        self.encoded += 1
-        words = chunk.split()
-        head = words[0] if words and not chunk[:1].isspace() else b""
-        if len(head) == len(chunk):
-            parts = (chunk, None, b"")
-        else:
-            tail = words[-1] if words and not chunk[-1:].isspace() else b""
-            parts = (head, self.words.encode(words[bool(head) : len(words) - bool(tail)]), tail)
-        self.kept_bytes += len(chunk) + len(parts[1] or b"") + 300
-        if self.kept_bytes > CHUNK_BYTES_KEPT:
+        self.chunk_bytes = 0
+        #: Bytes of chunks that were seen, and of what the tokenizer was given for chunks and for joins.
+        self.seen = self.encoded = self.repaired = 0
+
+    def _learn_chunks(self, chunks: dict[bytes, bytes]) -> None:
+        """Encodes chunks (by digest), many in one call, and keeps them."""
+        ends = [(_HEAD.match(c).end(), m.end() if (m := _UP_TO_TAIL.match(c)) else 0) for c in chunks.values()]
+        bodies = [c[head:tail].decode() for c, (head, tail) in zip(chunks.values(), ends, strict=True)]
+        for (digest, chunk), (head, tail), ids in zip(chunks.items(), ends, self._ids(bodies), strict=True):
+            known = (chunk[:head], np.array(ids, "<u4").tobytes(), chunk[tail:]) if tail else (chunk, None, b"")
+            self.chunks[digest] = known
+            self.chunk_bytes += sum(len(x) for x in known if x) + 400
+            self.encoded += max(tail - head, 0)
+
+    def encode_block(self, texts: list[list[bytes]]) -> Iterator[Iterator[bytes]]:
+        """For each text, given as its chunks, its ids piece by piece."""
+        if self.chunk_bytes > CHUNK_BYTES_KEPT:
             self.chunks.clear()
-            self.kept_bytes = 0
-        self.chunks[chunk] = parts
-        return parts
-
-    def encode(self, text: bytes, cuts: list[int]) -> bytes:
-        """The ids of a whole text cut at cuts."""
-        ids, open_word, at = [], [], 0
-        for stop in [*cuts, len(text)]:
-            if stop <= at:
-                continue
-            head, body, tail = self._chunk(text[at:stop])
-            at = stop
-            open_word.append(head)
-            if body is not None:  # white space: the join before it is whole
-                ids.append(self._join(open_word))
-                ids.append(body)
-                open_word = [tail]
-        ids.append(self._join(open_word))
-        return b"".join(ids)
-
-    def _join(self, parts: list[bytes]) -> bytes:
-        word = b"".join(parts)
-        return self.words.encode([word]) if word else b""
-
-    def texts(self, ids: bytes) -> tuple[int, bytes, bytes]:
-        """(number of ids, the ids as decimal text, the decoded text)."""
+            self.chunk_bytes = 0
+        digests = [[hashlib.blake2b(c, digest_size=16).digest() for c in chunks] for chunks in texts]
+        self._learn_chunks({d: c for own, chunks in zip(digests, texts, strict=True) for d, c in zip(own, chunks, strict=True) if d not in self.chunks})
+        plans = [list(_plan([self.chunks[d] for d in own])) for own in digests]
+        joins = {x for plan in plans for is_join, x in plan if is_join}
+        self.seen += sum(len(c) for chunks in texts for c in chunks)
+        self.repaired += sum(len(w) for w in joins if w not in self.words)
+        self.learn(joins)
+        for plan in plans:
+            yield (self.words[x] if is_join else x for is_join, x in plan)
+
+
+def _plan(parts: list[tuple[bytes, bytes | None, bytes]]) -> Iterator[tuple[bool, bytes]]:
+    """Pieces of a text in order: (False, ids of a chunk's inside) and (True, bytes of a join that are to be encoded together).
+
+    A join takes the end of one chunk and the beginning of the next; if that one has no white space, it goes on over
+    it to the one after, until white space is met. There the ids of both sides agree with those of the whole text.
+    """
+    open_join: list[bytes] = []
+    for head, body, tail in parts:
+        open_join.append(head)
+        if body is not None:
+            if join := b"".join(open_join):
+                yield True, join
+            if body:
+                yield False, body
+            open_join = [tail]
+    if join := b"".join(open_join):
+        yield True, join
+
+
+class _Digest:
+    """Number, digest of the ids as decimal text, digest of the decoded text; or those texts themselves."""
+
+    def __init__(self, codec: ChunkCodec, whole: bool):
+        self.codec, self.whole, self.n = codec, whole, 0
+        self.out = [io.BytesIO(), io.BytesIO()] if whole else [hashlib.sha256(), hashlib.sha256()]
+
+    def add(self, ids: bytes) -> None:
         numbers = np.frombuffer(ids, "<u4").tolist()
-        return len(numbers), b" ".join([self.decimal[i] for i in numbers]), b" ".join([self.names[i] for i in numbers])
+        if numbers:
+            for out, names in zip(self.out, (self.codec.decimal, self.codec.names), strict=True):
+                text = b" ".join([names[i] for i in numbers])
+                (out.write if self.whole else out.update)(b" " + text if self.n else text)
+            self.n += len(numbers)
+
+    def row(self) -> tuple[int, str, str]:
+        return (self.n, *(out.getvalue().decode() if self.whole else out.hexdigest() for out in self.out))
 
 
 def worker_codec(path: str, kind: type):
@@ -215,12 +268,35 @@ def worker_codec(path: str, kind: type):
     return vectext.held((path, kind), lambda: kind(path))
 
 
-def _texts(batches, id_at: int = 0, text_at: int = 1) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, bytes]]:
+def _texts(batches, id_at: int = 0, text_at: int = 1) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     for batch in batches:
         texts = batch.column(text_at)
         for start, stop in vectext.blocks(texts):
-            data, offsets = vectext.flat(texts.slice(start, stop - start))
-            yield batch.column(id_at).slice(start, stop - start), data, offsets, data.tobytes()
+            yield batch.column(id_at).slice(start, stop - start), *vectext.flat(texts.slice(start, stop - start))
+
+
+def _smallest_chunk(batches):
+    """(doc_id, text) to (doc_id, text, the smallest hash of its chunks; a text without one gets a hash of its id)."""
+    for batch in batches:
+        for start, stop in vectext.blocks(batch.column(1)):
+            part = batch.slice(start, stop - start)
+            data, offsets = vectext.flat(part.column(1))
+            raw = memoryview(data.tobytes())
+            keys = []
+            for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                found = [xxhash.xxh64_intdigest(raw[a:b]) for a, b in chunk_ranges(data[begin:end], begin)]
+                keys.append(min(found, default=0) - (1 << 63))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(keys, pa.int64())], ["doc_id", "text", "near"])
+
+
+def gathered(docs):
+    """(doc_id, text) with documents that share chunks side by side: dealt and sorted by the smallest of their chunks' hashes.
+
+    Copies have the same one, and near copies nearly as often as they share chunks. The deal is a REBALANCE, whose
+    partitions adaptive execution splits where a third of all documents are copies of one.
+    """
+    keyed = docs.mapInArrow(_smallest_chunk, "doc_id long, text string, near long")
+    return keyed.hint("rebalance", "near").sortWithinPartitions("near").select("doc_id", "text")
 
 
 ENCODED_SCHEMA = "doc_id long, n_tokens long, ids string, decoded string"
@@ -228,18 +304,22 @@ DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 s
 _NAMES = ["doc_id", "n_tokens", "ids", "decoded"]
 
 
-def _encoder(path: str, out: Callable[[bytes], str]):
+def _encoder(path: str, whole: bool):
     def run(batches):
         codec = worker_codec(path, ChunkCodec)
-        for ids, data, offsets, raw in _texts(batches):
-            codec.words.learn(set(raw.split()))
-            cuts = cut_points(data)
-            at = np.searchsorted(cuts, offsets)
-            rows = []
-            for i in range(len(ids)):
-                begin, end = int(offsets[i]), int(offsets[i + 1])
-                own = (cuts[at[i] : at[i + 1]] - begin).tolist()
-                rows.append([f(x) if f else x for f, x in zip((None, out, out), codec.texts(codec.encode(raw[begin:end], own)), strict=True)])
+        for ids, data, offsets in _texts(batches):
+            raw = data.tobytes()
+            out = [_Digest(codec, whole) for _ in range(len(ids))]
+            if len(ids) == 1:  # perhaps a very long one: by windows, which end at white space
+                for start, stop in vectext.windows(data):
+                    for pieces in codec.encode_block([[raw[a:b] for a, b in chunk_ranges(data[start:stop], start)]]):
+                        for piece in pieces:
+                            out[0].add(piece)
+            else:
+                texts = [[raw[a:b] for a, b in chunk_ranges(data[begin:end], begin)] for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                for own, pieces in zip(out, codec.encode_block(texts), strict=True):
+                    own.add(b"".join(pieces))
+            rows = [own.row() for own in out]
             yield pa.RecordBatch.from_arrays([ids, pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[k] for r in rows], pa.string()) for k in (1, 2))], _NAMES)
 
     return run
@@ -259,12 +339,12 @@ def encode(docs, id_col: str = "doc_id", text_col: str = "text", path: str | Non
     repeated rows and ids give repeated rows; further columns are not read. Special tokens' names in a text become
     those tokens, as the library has it.
     """
-    return _narrow(docs, id_col, text_col).mapInArrow(_encoder(path or tokenizer_path(), lambda x: x.decode()), ENCODED_SCHEMA)
+    return gathered(_narrow(docs, id_col, text_col)).mapInArrow(_encoder(path or tokenizer_path(), True), ENCODED_SCHEMA)
 
 
 def encode_digests(docs, id_col: str = "doc_id", text_col: str = "text", path: str | None = None):
     """As encode(), with the SHA-256 of ids and decoded text in their place, so that they never leave the worker."""
-    frame = _narrow(docs, id_col, text_col).mapInArrow(_encoder(path or tokenizer_path(), lambda x: hashlib.sha256(x).hexdigest()), ENCODED_SCHEMA)
+    frame = gathered(_narrow(docs, id_col, text_col)).mapInArrow(_encoder(path or tokenizer_path(), False), ENCODED_SCHEMA)
     return frame.toDF("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
@@ -273,28 +353,39 @@ def token_counter(path: str):
 
     def run(batches):
         codec = worker_codec(path, BlockCodec)
-        for ids, data, offsets, _ in _texts(batches):
-            yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(codec.encode_block(data, offsets)[1]), pa.int64())], ["doc_id", "n_tokens"])
+        for ids, data, offsets in _texts(batches):
+            counts = np.diff(codec.encode_block(data, offsets)[1]) if len(ids) > 1 else [sum(map(len, codec.encode_windows(data)))]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(counts, pa.int64())], ["doc_id", "n_tokens"])
 
     return run
 
 
+def _pieces(parts: Iterator[np.ndarray], limit: int) -> Iterator[tuple[int, int, int, int]]:
+    """(piece, start, length, ids_crc32) of a document whose ids come part by part."""
+    piece, rest = 0, b""
+    for part in parts:
+        rest += part.astype("<u4", copy=False).tobytes()
+        while len(rest) > 4 * limit:
+            yield piece, piece * limit, limit, zlib.crc32(rest[: 4 * limit])
+            piece, rest = piece + 1, rest[4 * limit :]
+    yield piece, piece * limit, len(rest) // 4, zlib.crc32(rest)
+
+
 def piece_maker(path: str, limit: int, end_id: int):
     """A mapInArrow function (doc_id, text) to the pieces of each document: (doc_id, piece, start, length, ids_crc32)."""
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches):
         codec = worker_codec(path, BlockCodec)
-        for ids, data, offsets, _ in _texts(batches):
-            tokens, place = codec.encode_block(data, offsets)
-            rows: list[tuple] = []
-            for doc, begin, stop in zip(ids.to_pylist(), place[:-1].tolist(), place[1:].tolist(), strict=True):
-                own = tokens[begin:stop].tobytes() + end
-                for k in range(0, len(own), 4 * limit):
-                    part = own[k : k + 4 * limit]
-                    rows.append((doc, k // (4 * limit), k // 4, len(part) // 4, zlib.crc32(part)))
+        for ids, data, offsets in _texts(batches):
+            if len(ids) == 1:
+                parts = [itertools.chain(codec.encode_windows(data), [end])]
+            else:
+                tokens, place = codec.encode_block(data, offsets)
+                parts = [[tokens[begin:stop], end] for begin, stop in zip(place[:-1].tolist(), place[1:].tolist(), strict=True)]
+            rows = [(doc, *piece) for doc, own in zip(ids.to_pylist(), parts, strict=True) for piece in _pieces(own, limit)]
             columns = list(zip(*rows, strict=True)) or [()] * 5
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return run
