@@ -4,7 +4,7 @@ The bytes of a text are cut where a rolling hash of the last ROLLED bytes has CU
 several documents share is cut into the same chunks wherever it stands. Documents that share chunks are brought
 together: they are dealt and sorted by the smallest of their chunks' hashes, so that a chunk's copies meet in one
 worker, where it is encoded once and kept (by digest, CHUNK_BYTES_KEPT at most). Only chunks that are not there, and
-joins, go through the tokenizer.
+joins, are encoded: their words are looked up, and those that no earlier chunk had go through the tokenizer.
 
 A chunk is kept as the ids of what lies between its first and its last white space, and the bytes before and after.
 The tokenizer drops white space and never joins across it, so those ids are the same in any text. Ends may be halves
@@ -36,7 +36,7 @@ TOKENIZER = "word_bpe_49k.json"
 #: Bytes that the rolling hash sees, bits of it that are clear at a cut (so chunks have about 2**CUT_BITS bytes), bytes of a chunk at least.
 ROLLED, CUT_BITS, LEAST = 16, 9, 64
 #: What a worker keeps of words and of chunks, in bytes.
-WORD_BYTES_KEPT, CHUNK_BYTES_KEPT = 224 << 20, 64 << 20
+WORD_BYTES_KEPT, CHUNK_BYTES_KEPT = 224 << 20, 32 << 20
 
 _HEAD, _UP_TO_TAIL = re.compile(rb"[^ \t\n\x0b\x0c\r]*"), re.compile(rb".*[ \t\n\x0b\x0c\r]", re.S)
 
@@ -91,6 +91,8 @@ class WordCodec:
     hold the beginning of a special token's name are encoded alone.
     """
 
+    kept_most = WORD_BYTES_KEPT
+
     def __init__(self, path: str):
         # One thread a worker: Spark runs as many workers as there are cores.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -109,7 +111,7 @@ class WordCodec:
 
     def learn(self, words: set[bytes]) -> None:
         """Afterwards the cache has all of words; others may have gone."""
-        if self.kept_bytes > WORD_BYTES_KEPT:
+        if self.kept_bytes > self.kept_most:
             self.words.clear()
             self.kept_bytes = 0
         new = [w for w in words if w not in self.words]
@@ -159,7 +161,7 @@ class BlockCodec(WordCodec):
         super().__init__(path)
         self.names = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
-    def encode_block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def encode_texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's begin)."""
         raw = data.tobytes()
         special = any(name in raw for name in self.names)
@@ -181,30 +183,35 @@ class BlockCodec(WordCodec):
         """The ids of one text, window by window; no token crosses white space, where windows end."""
         for start, stop in vectext.windows(data):
             part = data[start:stop]
-            yield self.encode_block(part, np.array([0, len(part)]))[0]
+            yield self.encode_texts(part, np.array([0, len(part)]))[0]
 
 
-class ChunkCodec(WordCodec):
+class ChunkCodec(BlockCodec):
     """Encodes texts chunk by chunk, with a bounded cache of chunks; see the module's text."""
 
+    kept_most = WORD_BYTES_KEPT // 2
+
     def __init__(self, path: str):
         super().__init__(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         names = [self.tokenizer.id_to_token(i) for i in range(size)]
         #: Ids as decimal text, and as tokens; the tokenizer's decoding joins tokens by spaces.
-        self.decimal, self.names = [str(i).encode() for i in range(size)], [(n or "").encode() for n in names]
+        self.decimal, self.tokens = [str(i).encode() for i in range(size)], [(n or "").encode() for n in names]
         #: (bytes before the first white space, ids up to the last one or None if there is none, bytes after it) by digest.
         self.chunks: dict[bytes, tuple[bytes, bytes | None, bytes]] = {}
         self.chunk_bytes = 0
-        #: Bytes of chunks that were seen, and of what the tokenizer was given for chunks and for joins.
+        #: Bytes of chunks that were seen, and of what had to be encoded for chunks and for joins.
         self.seen = self.encoded = self.repaired = 0
 
     def _learn_chunks(self, chunks: dict[bytes, bytes]) -> None:
         """Encodes chunks (by digest), many in one call, and keeps them."""
         ends = [(_HEAD.match(c).end(), m.end() if (m := _UP_TO_TAIL.match(c)) else 0) for c in chunks.values()]
-        bodies = [c[head:tail].decode() for c, (head, tail) in zip(chunks.values(), ends, strict=True)]
-        for (digest, chunk), (head, tail), ids in zip(chunks.items(), ends, self._ids(bodies), strict=True):
-            known = (chunk[:head], np.array(ids, "<u4").tobytes(), chunk[tail:]) if tail else (chunk, None, b"")
+        bodies = [c[head:tail] for c, (head, tail) in zip(chunks.values(), ends, strict=True)]
+        place = np.cumsum([0, *map(len, bodies)])
+        ids, place = self.encode_texts(np.frombuffer(b"".join(bodies), np.uint8), place)
+        raw = ids.astype("<u4", copy=False).tobytes()
+        for (digest, chunk), (head, tail), begin, end in zip(chunks.items(), ends, (4 * place[:-1]).tolist(), (4 * place[1:]).tolist(), strict=True):
+            known = (chunk[:head], raw[begin:end], chunk[tail:]) if tail else (chunk, None, b"")
             self.chunks[digest] = known
             self.chunk_bytes += sum(len(x) for x in known if x) + 400
             self.encoded += max(tail - head, 0)
@@ -254,7 +261,7 @@ class _Digest:
     def add(self, ids: bytes) -> None:
         numbers = np.frombuffer(ids, "<u4").tolist()
         if numbers:
-            for out, names in zip(self.out, (self.codec.decimal, self.codec.names), strict=True):
+            for out, names in zip(self.out, (self.codec.decimal, self.codec.tokens), strict=True):
                 text = b" ".join([names[i] for i in numbers])
                 (out.write if self.whole else out.update)(b" " + text if self.n else text)
             self.n += len(numbers)
@@ -354,7 +361,7 @@ def token_counter(path: str):
     def run(batches):
         codec = worker_codec(path, BlockCodec)
         for ids, data, offsets in _texts(batches):
-            counts = np.diff(codec.encode_block(data, offsets)[1]) if len(ids) > 1 else [sum(map(len, codec.encode_windows(data)))]
+            counts = np.diff(codec.encode_texts(data, offsets)[1]) if len(ids) > 1 else [sum(map(len, codec.encode_windows(data)))]
             yield pa.RecordBatch.from_arrays([ids, pa.array(counts, pa.int64())], ["doc_id", "n_tokens"])
 
     return run
@@ -382,7 +389,7 @@ def piece_maker(path: str, limit: int, end_id: int):
             if len(ids) == 1:
                 parts = [itertools.chain(codec.encode_windows(data), [end])]
             else:
-                tokens, place = codec.encode_block(data, offsets)
+                tokens, place = codec.encode_texts(data, offsets)
                 parts = [[tokens[begin:stop], end] for begin, stop in zip(place[:-1].tolist(), place[1:].tolist(), strict=True)]
             rows = [(doc, *piece) for doc, own in zip(ids.to_pylist(), parts, strict=True) for piece in _pieces(own, limit)]
             columns = list(zip(*rows, strict=True)) or [()] * 5
