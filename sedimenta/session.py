@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, driver_memory: str = "6g", **conf: str) -> SparkSession:
@@ -44,6 +44,12 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def cut_all(df):
+    """As cut_lineage(), without the size that Catalyst estimates: for loops of joins, whose estimates are products that double their digits with each round."""
+    spark, cut = df.sparkSession, cut_lineage(df)
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(cut._jdf.queryExecution().toRdd(), cut._jdf.schema(), False), spark)
+
+
 def share_package(spark: SparkSession) -> SparkSession:
     """Lets Python workers on this machine find the package wherever the driver was started; a cluster gets it by --py-files or an image."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
