@@ -49,9 +49,11 @@ def _bit(rows: int, *keys: str) -> Column:
 
 
 def bitmap(groups: DataFrame, rows: int, *keys: str) -> DataFrame:
-    """At most rows rows (slot, bits)."""
+    """At most rows rows (slot, words), words being _BITS / 32 numbers of 32 bits each."""
     at = groups.select(_bit(rows, *keys).alias("at"))
-    return at.groupBy((F.col("at") / _BITS).cast("int").alias("slot")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(_BITS))).alias("bits"))
+    slots = at.groupBy((F.col("at") / _BITS).cast("int").alias("slot")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(_BITS))).alias("bits"))
+    four = lambda k: F.conv(F.hex(F.substring("bits", 4 * k + 1, F.lit(4))), 16, 10).cast("long")
+    return slots.select("slot", F.transform(F.sequence(F.lit(0), F.lit(_BITS // 32 - 1)), four).alias("words"))
 
 
 def marked(table: DataFrame, bits: DataFrame, rows: int, name: str, *keys: str) -> DataFrame:
@@ -59,9 +61,10 @@ def marked(table: DataFrame, bits: DataFrame, rows: int, name: str, *keys: str)
     table = table.withColumn("_at", _bit(rows, *keys)).withColumn("_slot", (F.col("_at") / _BITS).cast("int"))
     table = table.join(F.broadcast(bits.withColumnRenamed("slot", "_slot")), "_slot", "left")
     inside = F.pmod("_at", F.lit(_BITS))
-    byte = F.conv(F.hex(F.substring("bits", (inside / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.call_function("shiftright", byte, F.pmod(inside, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
-    return table.withColumn(name, F.coalesce(hit, F.lit(False))).drop("_at", "_slot", "bits")
+    # The first of a word's four bytes is its highest.
+    place = F.pmod(inside, F.lit(32)).bitwiseXOR(F.lit(24)).cast("int")
+    hit = F.getbit(F.get("words", (inside / 32).cast("int")), place) == 1
+    return table.withColumn(name, F.coalesce(hit, F.lit(False))).drop("_at", "_slot", "words")
 
 
 def without(docs: DataFrame, gone: DataFrame, *keys: Column) -> DataFrame:

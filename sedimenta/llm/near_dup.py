@@ -11,15 +11,22 @@ more similar ones with more; links are then confirmed on the full sets.
 No bucket is capped and no bucket's pairs are all emitted. First every member of a bucket is compared with the
 smallest one, its hub (a star, linear in the bucket); the confirmed links give components. Two members of one component
 need no further comparison. What is left is, around each hub with members in several components, whether a member
-outside the hub's component (a query) is near a member of another component. Queries meet the hub's members in blocks
-of about BLOCK by BLOCK rows: a first pass over signatures keeps the rows that have someone within DISTANCE in another
-component, a second one compares full sets and gives only the confirmed links. So the components are those of all
-links within DISTANCE, and the rows that are moved grow as members times blocks of queries.
+outside the hub's component (a query) is near a member of another component. Queries meet the hub's members in a grid
+of blocks: a first pass over signatures keeps the rows that have someone within DISTANCE in another component, a second
+one compares full sets and gives only the confirmed links. So the components are those of all links within DISTANCE.
+A block has the square root of BLOCK times the hub's members on a side, so the rows that are moved for a hub grow as
+the power 1.5 of its unlinked members, not as their square (the comparisons do, within tasks that are spread), and a
+block's rows as their square root.
+
+Classes are numbered once; numbers, not document ids, are the nodes of links, so an id on rows with different texts is
+as many nodes. Full sets are made again from the texts of classes that are in some pair; a bitmap of those tells which
+rows, so that no text is ever shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 from itertools import combinations
 
 import numpy as np
@@ -27,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm import vectext
+from sedimenta.llm import exact_dedup, vectext
 from sedimenta.operators.components import components
 from sedimenta.session import cut_lineage
 
@@ -38,58 +45,73 @@ BLOCK = 512
 SUBSETS = list(combinations(range(CHUNK), CHUNK - ERRORS))
 _SEEDS = vectext.mix(np.arange(1, POSITIONS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
-_CLASS_SCHEMA = "doc_id long, n_shingles long, set_hash binary, signature binary"
-_SET_SCHEMA = "doc_id long, set_hash binary, shingles binary"
+#: Members of a hub that are confirmed at a time, and shingles of a set whose minima are taken at a time.
+STAR, SLICE = 256, 1 << 18
 
 
 def _texts(batches, width):
-    """Blocks of (ids, shingle sets) of the batches of (doc_id, text)."""
+    """Blocks (part of the batch, shingle sets) of the batches of (text, ...)."""
     vectext.release()
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
-        for start, stop in vectext.blocks(texts):
-            words = vectext.Words(*vectext.flat(texts.slice(start, stop - start)), vectext.NOT_SPACE)
-            yield ids.slice(start, stop - start), vectext.shingle_sets(words, width)
+        for start, stop in vectext.blocks(batch.column(0)):
+            part = batch.slice(start, stop - start)
+            yield part, vectext.shingle_sets(vectext.Words(*vectext.flat(part.column(0)), vectext.NOT_SPACE), width)
 
 
 def _set_hash(shingles: np.ndarray) -> bytes | None:
-    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+    return hashlib.blake2b(shingles, digest_size=16).digest() if len(shingles) else None
+
+
+def _minima(joined: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """By position, the smallest hash of each of the sets that begin at at, in uint16."""
+    out = np.zeros((len(at), POSITIONS), np.uint16)
+    for k, seed in enumerate(_SEEDS):
+        with np.errstate(over="ignore"):
+            value = (joined ^ seed) * np.uint64(0xE7037ED1A0B428DB)
+            value ^= value >> np.uint64(32)
+            value *= np.uint64(0x8EBC6AF09C88C6E3)
+        out[:, k] = (vectext.mix(np.minimum.reduceat(value, at)) & np.uint64(0xFFFF)).astype(np.uint16)
+    return out
 
 
-def _signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """uint16 signatures, a row for each set (all zero for an empty one)."""
-    out = np.zeros((len(sets), POSITIONS), np.uint16)
-    full = [i for i, s in enumerate(sets) if len(s)]
-    if full:
-        joined = np.concatenate([sets[i] for i in full])
-        at = np.cumsum([0, *(len(sets[i]) for i in full[:-1])])
+def _minima_of_long(shingles: np.ndarray) -> np.ndarray:
+    """The same for one long set, slice by slice."""
+    least = np.full(POSITIONS, np.iinfo(np.uint64).max, np.uint64)
+    for low in range(0, len(shingles), SLICE):
+        part = shingles[low : low + SLICE]
         for k, seed in enumerate(_SEEDS):
             with np.errstate(over="ignore"):
-                value = (joined ^ seed) * np.uint64(0xE7037ED1A0B428DB)
+                value = (part ^ seed) * np.uint64(0xE7037ED1A0B428DB)
                 value ^= value >> np.uint64(32)
                 value *= np.uint64(0x8EBC6AF09C88C6E3)
-            out[full, k] = (vectext.mix(np.minimum.reduceat(value, at)) & np.uint64(0xFFFF)).astype(np.uint16)
+            least[k] = min(least[k], value.min())
+    return (vectext.mix(least) & np.uint64(0xFFFF)).astype(np.uint16)
+
+
+def _signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """uint16 signatures, a row for each set (all zero for an empty one)."""
+    out = np.zeros((len(sets), POSITIONS), np.uint16)
+    for i, s in enumerate(sets):
+        if len(s) > SLICE:
+            out[i] = _minima_of_long(s)
+    if full := [i for i, s in enumerate(sets) if 0 < len(s) <= SLICE]:
+        out[full] = _minima(np.concatenate([sets[i] for i in full]), np.cumsum([0, *(len(sets[i]) for i in full[:-1])]))
     return out
 
 
 def _classify(width):
     def run(batches):
-        for ids, sets in _texts(batches, width):
-            signatures = _signatures(sets)
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array([_set_hash(s) for s in sets], pa.binary()), pa.array([row.tobytes() for row in signatures], pa.binary())],
-                ["doc_id", "n_shingles", "set_hash", "signature"],
-            )
+        for part, sets in _texts(batches, width):
+            made = [pa.array([len(s) for s in sets], pa.int64()), pa.array([_set_hash(s) for s in sets], pa.binary()), pa.array([row.tobytes() for row in _signatures(sets)], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], *made], [*part.schema.names[1:], "n_shingles", "set_hash", "signature"])
 
     return run
 
 
 def _full_sets(width):
     def run(batches):
-        for ids, sets in _texts(batches, width):
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([_set_hash(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "set_hash", "shingles"]
-            )
+        for _, sets in _texts(batches, width):
+            yield pa.RecordBatch.from_arrays([pa.array([_set_hash(s) for s in sets], pa.binary()), pa.array([memoryview(s).cast("B") for s in sets], pa.binary())], ["set_hash", "shingles"])
 
     return run
 
@@ -113,19 +135,42 @@ def _index_keys(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["cls", "keys"])
 
 
-def _confirm(percent):
-    """Keeps the pairs with 100 * intersection >= percent * union."""
+def _near_pairs(percent):
+    """The pairs (hub, cls) of (hub, cls, size, hub_size, signature, hub_signature) that can be near: by size, and within DISTANCE."""
 
     def run(batches):
         vectext.release()
         for batch in batches:
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            good = []
-            for a, b in zip(left, right, strict=True):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+            size, other = (np.asarray(batch.column(k)).astype(np.int64) for k in (2, 3))
+            good = 100 * np.minimum(size, other) >= percent * np.maximum(size, other)
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, POSITIONS) for k in (4, 5))
+            good &= (a != b).sum(1) <= DISTANCE
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["hub", "cls"]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
+def _overlaps(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of others has in common with own; sets are sorted, none is empty."""
+    joined = np.concatenate(others)
+    place = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+    sizes = np.array([len(x) for x in others])
+    return np.add.reduceat((own[place] == joined).astype(np.int64), np.cumsum(sizes) - sizes)
+
+
+def _star_links(percent):
+    """The confirmed links (a, b) of a hub and a block of its members, of (hub, block, cls, shingles)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        vectext.release()
+        hub, cls = table["hub"][0].as_py(), np.asarray(table["cls"].combine_chunks())
+        shingles = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]
+        at = int(np.flatnonzero(cls == hub)[0])
+        others = np.flatnonzero(cls != hub)
+        sizes = np.array([len(shingles[k]) for k in others])
+        both = _overlaps(shingles[at], [shingles[k] for k in others])
+        linked = cls[others[100 * both >= percent * (sizes + len(shingles[at]) - both)]]
+        return pa.table({"a": pa.array(np.full(len(linked), hub), pa.int64()), "b": pa.array(linked, pa.int64())})
 
     return run
 
@@ -179,12 +224,9 @@ def _links_within(percent):
             found = _candidates(q, members, component, size, signatures, percent)
             if not len(found):
                 continue
-            own = shingles[q]
-            joined = np.concatenate([shingles[m] for m in found])
-            place = np.minimum(np.searchsorted(own, joined), len(own) - 1)
             sizes = np.array([len(shingles[m]) for m in found])
-            both = np.add.reduceat((own[place] == joined).astype(np.int64), np.cumsum(sizes) - sizes)
-            for m in found[100 * both >= percent * (sizes + len(own) - both)]:
+            both = _overlaps(shingles[q], [shingles[m] for m in found])
+            for m in found[100 * both >= percent * (sizes + len(shingles[q]) - both)]:
                 a.append(min(cls[q], cls[m]))
                 b.append(max(cls[q], cls[m]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -192,69 +234,78 @@ def _links_within(percent):
     return run
 
 
-def _could(percent: int, a: str, b: str):
-    """Sets of these sizes can reach the threshold."""
-    return 100 * F.least(F.col(a), F.col(b)) >= percent * F.greatest(F.col(a), F.col(b))
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), a row for each row of docs.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) and the columns of carry, a row for each row of docs.
 
     Words are runs of anything but ASCII white space, with A-Z lower-cased; a set holds the distinct width-word
     shingles of the whole text, or all words as one where there are fewer. Null and empty texts have empty sets and
-    are linked with nothing: their component is their own id. Rows that repeat an id are in one component if their
-    texts are linked, and each of them is kept if the id is its component's smallest. A row with a null id is not
+    are linked with nothing: their component is their own id. component_id is the smallest id among the rows whose
+    texts are linked, by way of others or not. Rows that repeat an id with different texts are told apart: each has
+    the component of its own text, and is kept if the id is that component's smallest. A row with a null id is not
     linked with other texts; its component is the smallest id among rows with the same set, and it is not kept
-    (kept is false), unless there is none: then component_id is null. Further columns of docs are not read.
+    (kept is false), unless there is none: then component_id is null. An empty table gives no rows. Columns named in
+    carry pass through; others are not read. A very long text costs a worker some 20 bytes for each of its words.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = cut_lineage(texts.mapInArrow(_classify(width), _CLASS_SCHEMA))
-    classes = cut_lineage(rows.filter("set_hash is not null").groupBy("set_hash").agg(F.min("doc_id").alias("cls"), F.min("n_shingles").alias("size"), F.min("signature").alias("signature")).filter("cls is not null"))
+    carried = [f"_carry_{i}" for i in range(len(carry))]
+    texts = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"), *(F.col(c).alias(n) for c, n in zip(carry, carried, strict=True)))
+    kinds = "".join(f"{n} {texts.schema[n].dataType.simpleString()}, " for n in ["doc_id", *carried])
+    rows = cut_lineage(texts.mapInArrow(_classify(width), f"{kinds}n_shingles long, set_hash binary, signature binary"))
+    classes = rows.filter("set_hash is not null").groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("size"), F.min("signature").alias("signature"))
+    classes = cut_lineage(classes.filter("rep is not null").withColumn("cls", F.monotonically_increasing_id()))
 
     keyed = classes.select("cls", "signature").mapInArrow(_index_keys, "cls long, keys array<long>").select("cls", F.explode("keys").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("cls").alias("hub"), F.count("*").alias("n")).filter("n > 1")
+    hubs = cut_lineage(keyed.groupBy("key").agg(F.min("cls").alias("hub"), F.count("*").alias("n")).filter("n > 1"))
+    size = exact_dedup.rows_for(hubs.count())
+    shared = exact_dedup.marked(keyed, cut_lineage(exact_dedup.bitmap(hubs, size, "key")), size, "_maybe", "key").filter("_maybe")
     # A row for each hub and member, however many keys they share; in buckets of two the star compares all there is.
-    spokes = keyed.join(hubs, "key").groupBy("hub", "cls").agg((F.max("n") > 2).alias("crowded"))
-    sizes = classes.select("cls", "size")
-    spokes = spokes.join(sizes, "cls").join(sizes.withColumnRenamed("cls", "hub").withColumnRenamed("size", "hub_size"), "hub")
-    spokes = cut_lineage(spokes.select("hub", "cls", "size", "hub_size", "crowded"))
-    stars = spokes.filter("cls <> hub").filter(_could(percent, "size", "hub_size")).select(F.col("hub").alias("a"), F.col("cls").alias("b"))
-    first = cut_lineage(_confirmed(stars, texts, width, percent))
+    spokes = cut_lineage(shared.join(hubs, "key").groupBy("hub", "cls").agg((F.max("n") > 2).alias("crowded")))
+
+    known = classes.select("cls", "size", "signature")
+    others = classes.select(F.col("cls").alias("hub"), F.col("size").alias("hub_size"), F.col("signature").alias("hub_signature"))
+    pairs = spokes.filter("cls <> hub").select("hub", "cls").join(known, "cls").join(others, "hub")
+    stars = cut_lineage(pairs.select("hub", "cls", "size", "hub_size", "signature", "hub_signature").mapInArrow(_near_pairs(percent), "hub long, cls long"))
+    blocks = stars.groupBy("hub").agg(F.ceil(F.count("*") / STAR).alias("blocks"))
+    members = stars.join(blocks, "hub").select("hub", F.pmod(F.xxhash64("cls"), "blocks").alias("block"), "cls")
+    # The hub is in every block that has members.
+    around = members.union(members.select("hub", "block").distinct().select("hub", "block", F.col("hub").alias("cls")))
+    met = around.join(_sets(around.select("cls").distinct(), classes, texts, width), "cls").select("hub", "block", "cls", "shingles")
+    first = cut_lineage(met.groupBy("hub", "block").applyInArrow(_star_links(percent), "a long, b long"))
     found = components(first)
 
-    crowd = spokes.filter("crowded").select("hub", "cls", "size").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    crowd = spokes.filter("crowded").select("hub", "cls").join(known.select("cls", "size"), "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     mains = crowd.filter("cls = hub").select("hub", F.col("component").alias("main"))
     crowd = cut_lineage(crowd.join(mains, "hub").withColumn("outside", F.col("component") != F.col("main")))
     counts = crowd.groupBy("hub").agg(F.count("*").alias("members"), F.count_if("outside").alias("queries")).filter("queries > 0")
-    counts = counts.select("hub", F.ceil(F.col("members") / BLOCK).alias("member_blocks"), F.ceil(F.col("queries") / BLOCK).alias("query_blocks"))
+    side = F.greatest(F.lit(BLOCK).cast("double"), F.sqrt(F.col("members") * BLOCK))
+    counts = counts.select("hub", F.ceil(F.col("members") / side).alias("member_blocks"), F.ceil(F.col("queries") / side).alias("query_blocks"))
     crowd = crowd.join(counts, "hub").withColumn("own_mb", F.pmod(F.xxhash64("cls"), "member_blocks")).withColumn("own_qb", F.pmod(F.xxhash64("cls", F.lit(1)), "query_blocks"))
     columns = ["hub", "qb", "mb", "query", "cls", "component", "size"]
     as_members = crowd.withColumn("query", F.lit(False)).withColumn("mb", F.col("own_mb")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
     as_queries = crowd.filter("outside").withColumn("query", F.lit(True)).withColumn("qb", F.col("own_qb")).withColumn("mb", F.explode(F.sequence(F.lit(0), F.col("member_blocks") - 1)))
-    blocks = as_members.select(columns).union(as_queries.select(columns)).join(classes.select("cls", "signature"), "cls").select(*columns, "signature")
+    grid = as_members.select(columns).union(as_queries.select(columns)).join(known.select("cls", "signature"), "cls").select(*columns, "signature")
     kinds = "hub long, qb long, mb long, query boolean, cls long, component long, size long, signature binary"
-    near = cut_lineage(blocks.groupBy("hub", "qb", "mb").applyInArrow(_has_near(percent), kinds))
+    near = cut_lineage(grid.groupBy("hub", "qb", "mb").applyInArrow(_has_near(percent), kinds))
     if not near.isEmpty():
-        wanted = near.select(F.col("cls").alias("doc_id")).distinct()
-        whole = near.join(_sets(wanted, texts, width).withColumnRenamed("doc_id", "cls"), "cls").select(*columns, "signature", "shingles")
+        whole = near.join(_sets(near.select("cls").distinct(), classes, texts, width), "cls").select(*columns, "signature", "shingles")
         second = cut_lineage(whole.groupBy("hub", "qb", "mb").applyInArrow(_links_within(percent), "a long, b long").distinct())
         if not second.isEmpty():
             found = components(first.union(second))
 
-    placed = classes.select("set_hash", "cls").join(found.withColumnRenamed("node", "cls"), "cls", "left").select("set_hash", F.coalesce("component", "cls").alias("component"))
+    linked = found.withColumnRenamed("node", "cls").join(classes.select("cls", "rep"), "cls")
+    lowest = linked.join(linked.groupBy("component").agg(F.min("rep").alias("lowest")), "component").select("cls", "lowest")
+    placed = classes.select("set_hash", "cls", "rep").join(lowest, "cls", "left").select(F.col("set_hash").alias("at"), F.coalesce("lowest", "rep").alias("component"))
     # Rows without a set have no class; their own id as key keeps them spread.
     rows = rows.withColumn("at", F.coalesce("set_hash", F.col("doc_id").cast("string").cast("binary"), F.lit(b"")))
-    out = rows.join(placed.withColumnRenamed("set_hash", "at"), "at", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
-
-
-def _sets(wanted: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """(doc_id, shingles) of the texts whose ids are wanted."""
-    return cut_lineage(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(width), _SET_SCHEMA).dropDuplicates(["doc_id"]).select("doc_id", "shingles"))
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of ids whose full shingle sets reach the threshold; sets are made only for texts in some pair."""
-    sets = _sets(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), texts, width)
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long")
+    out = rows.join(placed, "at", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), *(F.col(n).alias(c) for c, n in zip(carry, carried, strict=True)))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"), *carry)
+
+
+def _sets(wanted: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(cls, shingles) of the classes that are wanted, from texts of the ids that stand for them."""
+    reps = cut_lineage(wanted.join(classes.select("cls", "rep", "set_hash"), "cls"))
+    size = exact_dedup.rows_for(reps.count())
+    bits = cut_lineage(exact_dedup.bitmap(reps.withColumnRenamed("rep", "doc_id"), size, "doc_id"))
+    some = exact_dedup.marked(texts.select("doc_id", "text"), bits, size, "_maybe", "doc_id").filter("_maybe").select("text")
+    # Several rows may have a set, and an id several sets.
+    made = some.mapInArrow(_full_sets(width), "set_hash binary, shingles binary").join(reps.select("set_hash"), "set_hash", "left_semi").dropDuplicates(["set_hash"])
+    return cut_lineage(reps.select("cls", "set_hash").join(made, "set_hash").select("cls", "shingles"))

@@ -132,6 +132,53 @@ def test_near_chains_and_hot_group(spark, monkeypatch, block):
     assert len(set(expected.values())) > 3
 
 
+def test_near_repeated_ids_with_different_texts(spark):
+    """An id on several texts is several nodes: no link of any of them is lost."""
+    text = lambda k, n: " ".join(f"{k}{i}" if i != n else "other" for i in range(60))
+    rows = [(1, text("a", -1)), (5, text("a", 59)), (5, text("b", -1)), (9, text("b", 59)), (20, text("c", -1))]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), width=2).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(1, 1, True), (5, 1, False), (5, 5, True), (9, 5, False), (20, 20, True)]
+
+
+def test_near_carries_columns(odd):
+    rows = near_dup.near_duplicates(odd.withColumn("kept", F.col("doc_id") * 2), width=2, carry=["lang", "source"]).collect()
+    assert sorted((r.doc_id or 0, r.lang or "", r.source or "") for r in rows) == sorted((r.doc_id or 0, r.lang or "", r.source or "") for r in odd.collect())
+
+
+def test_long_sets_have_the_same_minima(monkeypatch):
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (1, 50, 700, 3000)]
+    whole = near_dup._signatures(sets)
+    monkeypatch.setattr(near_dup, "SLICE", 64)
+    assert (near_dup._signatures(sets) == whole).all()
+
+
+def test_rows_moved_around_a_hub(spark, monkeypatch):
+    """A hub of unlinked members: what moves grows far slower than the square of their number."""
+    moved = {}
+    whole = near_dup._has_near
+
+    def counting(percent):
+        inner = whole(percent)
+
+        def run(table):
+            rows.add(len(table))
+            return inner(table)
+
+        return run
+
+    monkeypatch.setattr(near_dup, "_has_near", counting)
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    for n in (200, 800):
+        rows = spark.sparkContext.accumulator(0)
+        # Each has half of its words in common with all others, in the same place: near the hub, linked with nothing.
+        texts = [(i, " ".join(f"s{k}" for k in range(30)) + " " + " ".join(f"x{i}y{k}" for k in range(24 if i else 0))) for i in range(n)]
+        got = near_dup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), width=1).collect()
+        assert all(r.kept for r in got)
+        moved[n] = rows.value
+    assert moved[200] > 0 and moved[800] < 10 * moved[200]  # the square would be 16 times
+
+
 def test_op7_query(spark, sf, sample):
     expected, sizes = brute_components(sample, 2, 80)
     rows = queries.op7_minhash_near_dup(spark, sf).collect()
