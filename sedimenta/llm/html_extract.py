@@ -33,6 +33,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -376,11 +377,12 @@ class Page:
         return "\n\n".join(b for b in out if b)
 
 
-_VECTORS = "host string, token long, a long, b long, chars long, place long"
+_SUMS = ("a", "b", "chars", "place")
+_VECTORS = "host string, copy long, token long, a long, b long, chars long, place long"
 
 
 def _vectors(batches):
-    """(host, page, html) to a row for each host and distinct token of a page: two hashes of (page, count), and a container's text and place."""
+    """(host, page, html, whether there may be copies of the page) to a row for each host and distinct token of a page: two hashes of (page, count), and a container's text and place. copy is the page, where it may have copies."""
     for batch in batches:
         for start, stop in vectext.blocks(batch.column(2)):
             hosts, columns = [], []
@@ -394,35 +396,29 @@ def _vectors(batches):
                     weights[:, at] = np.array(list(found.values()), np.int64).T
                 hosts.append(np.full(len(tokens), len(hosts)))
                 columns.append(np.stack([tokens.view(np.int64), (mixed & np.uint64(0x7FFFFFFF)).view(np.int64), (mixed >> np.uint64(33)).view(np.int64), *weights]))
-            names = batch.column(0).slice(start, stop - start)
             joined = np.hstack(columns) if columns else np.zeros((5, 0), np.int64)
-            taken = names.take(pa.array(np.concatenate(hosts) if hosts else np.zeros(0, np.int64), pa.int64()))
-            yield pa.RecordBatch.from_arrays([taken, *(pa.array(c) for c in joined)], ["host", "token", "a", "b", "chars", "place"])
-
-
-def distinct_pages(pages: DataFrame, counts: DataFrame) -> DataFrame:
-    """(host, page, html) with one row for each (host, page), that of the smallest html; counts is (host, page, n).
-
-    Pages that occur more than once are found by a bitmap of fixed size, and only they are shuffled. A false bit only
-    sends a page through the shuffle too.
-    """
-    bitmap = cut_lineage(exact_dedup.bitmap(counts.filter("n > 1"), exact_dedup.ROWS, "host", "page"))
-    marked = exact_dedup.marked(pages, bitmap, exact_dedup.ROWS, "_maybe", "host", "page")
-    again = marked.filter("_maybe").groupBy("host", "page").agg(F.min("html").alias("html"))
-    return marked.filter("not _maybe").select("host", "page", "html").union(again)
+            rows = pa.array(np.concatenate(hosts) if hosts else np.zeros(0, np.int64), pa.int64())
+            part = batch.slice(start, stop - start)
+            copies = pc.if_else(part.column(3), part.column(1), pa.scalar(None, pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column(0).take(rows), copies.take(rows), *(pa.array(c) for c in joined)], ["host", "copy", "token", *_SUMS])
 
 
 def templates(pages: DataFrame, counts: DataFrame) -> DataFrame:
     """(host, tokens, classes, wide, main) of (host, page, html): tokens of large and frequent classes, the numbers of the
     classes, whether they are in nearly all of many pages, and the token of the main container.
 
-    Rows with the same host and page are copies and count as one page; counts is (host, page, n). A token that is in
+    Rows with the same host and page are copies and count as one page; counts is (host, page, n). Pages with copies are
+    known by a bitmap, and their tokens are first taken together by page; a false bit does no harm. A token that is in
     SHARE of the host's pages can only be one of 1 / SHARE times the tokens of a page, so the lists are bounded by the
     size of pages whatever the number of pages.
     """
-    rows = distinct_pages(pages, counts).mapInArrow(_vectors, _VECTORS)
-    sums = [F.sum(c).alias(c) for c in ("a", "b", "chars", "place")]
-    vectors = rows.groupBy("host", "token").agg(F.count("*").alias("pages"), *sums).filter(F.col("pages") >= MIN_PAGES)
+    several = cut_lineage(counts.filter("n > 1"))
+    size = exact_dedup.rows_for(several.count())
+    pages = exact_dedup.marked(pages, cut_lineage(exact_dedup.bitmap(several, size, "host", "page")), size, "_maybe", "host", "page")
+    rows = pages.select("host", "page", "html", "_maybe").mapInArrow(_vectors, _VECTORS)
+    once = rows.groupBy("host", "token", "copy").agg(F.count("*").alias("pages"), *(F.sum(c).alias(c) for c in _SUMS), *(F.min(c).alias(f"one_{c}") for c in _SUMS))
+    once = once.select("host", "token", *(F.when(F.col("copy").isNull(), F.col(c)).otherwise(o).alias(c) for c, o in (("pages", F.lit(1)), *((c, F.col(f"one_{c}")) for c in _SUMS))))
+    vectors = once.groupBy("host", "token").agg(F.sum("pages").alias("pages"), *(F.sum(c).alias(c) for c in _SUMS)).filter(F.col("pages") >= MIN_PAGES)
     sizes = counts.groupBy("host").agg(F.count("*").alias("all"))
     frequent = cut_lineage(vectors.join(sizes, "host").filter(F.col("pages") >= SHARE * F.col("all")))
     large = frequent.groupBy("host", "pages", "a", "b").agg(F.count("*").alias("size"), F.min("token").alias("class")).filter(F.col("size") >= MIN_SIZE)
