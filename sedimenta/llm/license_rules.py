@@ -2,13 +2,14 @@
 
 Patterns are Java regular expressions, matched without regard to the case of A-Z. A single space in a pattern stands
 for GAP, any run of characters that are neither letters nor digits; a pattern matches whole words only. The keyword is
-a lower-case text that every match contains; it gates the pattern. Priorities: 4 identifiers and exact grants, 3 names
+a lower-case text that every match contains, from the beginning of a word; it gates the pattern. Priorities: 4 identifiers and exact grants, 3 names
 with a version, 2 names and titles, 1 typical sentences and hints. Earlier rules win ties.
 """
 
 from __future__ import annotations
 
 Rule = tuple[str, int, str, str]
+PRIORITIES = (4, 3, 2, 1)
 
 #: SPDX identifiers and what their label is.
 SPDX = """
@@ -92,11 +93,12 @@ SENTENCES = r"""
 mit | 4 | permission is hereby granted, free of charge | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
 mit | 3 | without restriction | to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell
 mit | 2 | shall be included in all copies | the above copyright notice and this permission notice shall be included in all copies or substantial portions
-mit | 2 | mit licen | (?:released|licensed|distributed|available) under the (?:terms of the )?mit (?:license|licence)
+mit | 2 | mit license | (?:released|licensed|distributed|available|offered|provided) under the (?:terms of the )?mit license
+mit | 2 | mit licence | (?:released|licensed|distributed|available|offered|provided) under the (?:terms of the )?mit licence
 bsd | 4 | redistribution and use | redistribution and use in source and binary forms with or without modification are permitted
 bsd | 2 | redistributions of source code | redistributions of source code must retain the (?:above )?copyright notice
 bsd | 2 | redistributions in binary form | redistributions in binary form must reproduce the (?:above )?copyright notice
-bsd-3-clause | 3 | endorse or promote | neither the name of .{1,120}? nor the names of its contributors may be used to endorse or promote products
+bsd-3-clause | 3 | nor the names of | nor the names of (?:its|their|any) contributors may be used to endorse or promote products
 bsd-4-clause | 3 | advertising materials | all advertising materials mentioning features or use of this software must display the following acknowledge?ment
 bsd-2-clause | 3 | clause | (?:2|two) clause bsd(?: license| licence)?
 bsd-3-clause | 3 | clause | (?:3|three) clause bsd(?: license| licence)?
@@ -125,7 +127,7 @@ bsl | 4 | boost software license | distributed under the boost software license
 unlicense | 4 | public domain | this is free and unencumbered software released into the public domain
 public-domain | 2 | public domain | (?:released|placed|dedicated|donated) (?:in|into|to) the public domain
 public-domain | 1 | public domain | in the public domain
-cc0 | 3 | to the extent | to the extent possible under law the (?:author|person)
+cc0 | 3 | to the extent possible | to the extent possible under law the (?:author|person)
 creative-commons | 2 | creativecommons.org | (?:https? )?(?:www )?creativecommons org (?:licenses|publicdomain)
 creative-commons | 1 | creative commons | creative commons(?: license| licence)?
 proprietary | 2 | all rights reserved | all rights reserved
@@ -140,6 +142,87 @@ generic | 1 | licensed under | licensed under
 generic | 1 | licence | (?:terms|conditions) of (?:the|this) licence
 generic | 1 | license | (?:terms|conditions) of (?:the|this) license
 copyright | 1 | copyright | copyright (?:c )?[0-9]{4}
+mit | 3 | the software is provided | the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability
+mit | 2 | in no event shall the authors | in no event shall the authors or copyright holders be liable for any claim damages or other liability
+x11 | 3 | x consortium | except as contained in this notice the name of the x consortium shall not be used in advertising
+bsd | 2 | this software is provided by | this software is provided by the copyright holders and contributors as is
+bsd | 2 | in no event shall the copyright | in no event shall the copyright (?:holder|owner|holders|owners) or contributors be liable
+bsd-4-clause | 3 | this product includes software | this product includes software developed by the (?:university of california|regents)
+bsd-1-clause | 3 | clause | (?:1|one) clause bsd(?: license| licence)?
+bsd-3-clause-clear | 3 | no express or implied licenses | no express or implied licenses to any party s patent rights are granted by this license
+0bsd | 3 | permission to use copy modify | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided as is
+ntp | 3 | without specific | without specific written prior permission
+apache | 3 | grant of patent license | grant of patent license subject to the terms and conditions of this license
+apache | 2 | unless required by applicable law | unless required by applicable law or agreed to in writing software distributed under the license
+apache | 2 | apache software foundation | (?:developed|distributed|maintained) by the apache software foundation
+apache | 1 | asf | licensed to the asf under one or more contributor license agreements
+gpl | 3 | this program is free software | this program is free software you can redistribute it and or modify it
+gpl | 2 | covered by the gnu | covered by the gnu general public license
+gpl | 2 | gplv2 | gplv2(?: only| or later)?
+gpl | 2 | gplv3 | gplv3(?: only| or later)?
+gpl | 1 | copyleft | copyleft license
+lgpl | 3 | this library is free software | this library is free software you can redistribute it and or modify it
+lgpl | 2 | lgplv2 | lgplv2(?: 1)?(?: only| or later)?
+lgpl | 2 | lgplv3 | lgplv3(?: only| or later)?
+agpl | 2 | agplv3 | agplv3(?: only| or later)?
+agpl | 3 | remote network interaction | remote network interaction use with the gnu general public license
+gpl-exception | 3 | as a special exception | as a special exception (?:the copyright holders|you may|if you link)
+gpl-exception | 2 | classpath exception | (?:gnu )?classpath exception
+gpl-exception | 2 | gcc runtime library exception | gcc runtime library exception
+gfdl | 2 | invariant sections | with no invariant sections(?: no front cover texts)?(?: and no back cover texts)?
+mpl | 3 | this source code form | this source code form is subject to the terms of the mozilla public license
+mpl | 2 | incompatible with secondary licenses | incompatible with secondary licenses
+epl | 2 | eclipse.org/legal | (?:https? )?(?:www )?eclipse org legal(?: epl v[12]0| epl 2 0)?
+cddl | 3 | common development and distribution | subject to the terms of the common development and distribution license
+eupl | 3 | licensed under the eupl | licensed under the eupl(?: version 1 [0-2])?
+osl | 2 | licensed under the open software | licensed under the open software license
+artistic | 2 | the standard version of | the standard version of (?:this|the) package
+zlib | 2 | origin of this software | the origin of this software must not be misrepresented
+zlib | 2 | this notice may not be removed | this notice may not be removed or altered from any source distribution
+libpng | 3 | png reference library | the png reference library is supplied as is
+libtiff | 3 | sam leffler | the names of sam leffler and silicon graphics may not be used
+curl | 3 | daniel stenberg | copyright (?:c )?[0-9]+(?: [0-9]+)? daniel stenberg
+ijg | 3 | independent jpeg group | this software is based in part on the work of the independent jpeg group
+freetype | 3 | freetype project | portions of this software are copyright (?:c )?(?:[0-9]{4} )?the freetype project
+openssl | 3 | written by eric young | this product includes cryptographic software written by eric young
+postgresql | 3 | without a written agreement | without fee and without a written agreement is hereby granted
+python | 3 | psf is making python available | psf is making python available to licensee on an as is basis
+php | 3 | this product includes php | this product includes php software
+ruby | 2 | ruby license | (?:the )?ruby license
+perl | 2 | under the same terms as perl | under the same terms as perl itself
+tcl | 3 | this software is copyrighted by | this software is copyrighted by the regents of the university of california sun microsystems
+unlicense | 3 | unlicense.org | (?:https? )?(?:www )?unlicense org
+wtfpl | 3 | you just do what the fuck | you just do what the fuck you want to
+beerware | 3 | buy me a beer | you can buy me a beer in return
+cc0 | 3 | waives all copyright | waives all copyright and related (?:or|and) neighbou?ring rights
+cc0 | 2 | no rights reserved | no rights reserved
+public-domain | 2 | public domain | (?:has been|is|are) (?:placed|released|put|dedicated) (?:in|into|to) the public domain
+public-domain | 2 | disclaims copyright | the author disclaims copyright to this source code
+creative-commons | 2 | this work is licensed under | this work is licensed under (?:a|the) creative commons
+cc-by | 2 | attribution required | attribution required
+cc-by-nc | 1 | non commercial use only | (?:for )?non commercial use only
+cc-by-nd | 1 | no derivatives | no derivatives allowed
+odbl | 3 | this database is made available | this database is made available under the open database license
+ofl | 3 | this font software is licensed | this font software is licensed under the sil open font license
+ofl | 2 | reserved font name | with reserved font name
+sspl | 3 | offering the program as a service | offering the program as a service
+busl | 3 | additional use grant | additional use grant
+elastic | 3 | elastic license | elastic license(?: 2 0| v2)?
+commons-clause | 3 | commons clause | commons clause(?: license condition)?(?: v1 0)?
+polyform | 3 | polyform | polyform (?:noncommercial|small business|shield|strict|perimeter) license
+prosperity | 3 | prosperity public license | prosperity public license
+parity | 3 | parity public license | parity public license
+hippocratic | 3 | hippocratic license | hippocratic license
+proprietary | 2 | trade secrets | (?:contains|constitutes) (?:confidential information and )?trade secrets
+proprietary | 2 | end user license agreement | end user license agreement
+proprietary | 1 | may not be reproduced | may not be reproduced (?:distributed|transmitted|or|in)
+proprietary | 1 | internal use only | for internal use only
+proprietary | 1 | distribute | do not (?:copy or )?distribute
+generic | 1 | dual licensed | dual licensed under
+generic | 1 | license file | see the license file(?: for details)?
+generic | 1 | licensing terms | licensing terms
+generic | 1 | open source license | open source license
+copyright | 1 | all rights are reserved | all rights are reserved
 """
 
 #: What may stand between two words.
@@ -164,13 +247,12 @@ def rules() -> list[Rule]:
     for label, priority, keyword, pattern in _rows(SENTENCES):
         out.append((label, int(priority), keyword, pattern))
     for label, short, long in _rows(CREATIVE_COMMONS):
-        out.append((label, 3, "cc", f"cc {short}(?: [1-4] [05](?: international| unported)?)?"))
+        out.append((label, 3, f"cc {short}", f"cc {short}(?: [1-4] [05](?: international| unported)?)?"))
         out.append((label, 3, "creative commons", f"creative commons {long}(?: [1-4] [05])?(?: international| unported)?(?: license| licence)?"))
     for label, names, versions in _rows(NAMED):
         for name in names.split("; "):
-            keyword = max(name.split(), key=len)
             if versions:
                 numbers = "|".join(v.replace(".", " ") for v in sorted(versions.split(), key=len, reverse=True))
-                out.append((label, 3, keyword, f"{name}(?: v| version| ver)? ?v?(?:{numbers})(?: only| or later)?"))
-            out.append((label, 2, keyword, name))
+                out.append((label, 3, name, f"{name}(?: v| version| ver)? ?v?(?:{numbers})(?: only| or later)?"))
+            out.append((label, 2, name, name))
     return [(label, priority, keyword, _whole_words(pattern)) for label, priority, keyword, pattern in out]
