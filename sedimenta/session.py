@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,20 +31,49 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, driver_
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a temporary one only where none is set (a local test)."""
+    """The shared folder that the cluster names; a temporary one only where none is set and driver and executors are one process."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="sedimenta-checkpoint-"))
     return sc.getCheckpointDir()
 
 
+#: Folders of checkpoints that were made within scratch(), by thread.
+_made = threading.local()
+
+
 def cut_lineage(df):
     """Materialise df once in the checkpoint folder; later plans read those files."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if (made := getattr(_made, "folders", None)) is not None:
+        folder = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if folder.isDefined():
+            made.append(folder.get())
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder of any file system that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the checkpoints that this thread made within it, at its end: what was derived of them has to be written by then."""
+    outer, _made.folders = getattr(_made, "folders", None), []
+    try:
+        yield
+    finally:
+        folders, _made.folders = _made.folders, outer
+        for folder in folders:
+            remove(spark, folder)
 
 
 def cut_all(df):
