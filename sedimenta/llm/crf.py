@@ -8,6 +8,7 @@ true beginnings. The result is exact, and the number of NumPy calls does not fol
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -90,6 +91,30 @@ def posterior(scores: np.ndarray, place: np.ndarray, w: np.ndarray) -> tuple[np.
     return both / (1 + both), o, g
 
 
+def _step(odds: float, w: np.ndarray) -> float:
+    return float((w[1, 1] * odds + w[0, 1]) / (w[1, 0] * odds + w[0, 0]))
+
+
+def posterior_windows(scores: np.ndarray, w: np.ndarray, window: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(start, stop, probabilities of label 1) of one long sequence, from its last window to its first.
+
+    The odds at the beginning of each window are carried over from the last one, so the result is that of posterior(),
+    with the memory of a window besides the scores.
+    """
+    ranges = [(a, min(a + window, len(scores))) for a in range(0, len(scores), window)]
+    gain = lambda a, b: np.exp(np.clip(scores[a:b], -_FAR, _FAR))
+    begins = [1.0]
+    for a, b in ranges[:-1]:
+        begins.append(_step(_forward(gain(a, b), np.array([0, b - a]), w, begins[-1])[-1], w))
+    behind = 1.0
+    for (a, b), begin in zip(reversed(ranges), reversed(begins), strict=True):
+        own, place = gain(a, b), np.array([0, b - a])
+        g = _forward(own[::-1], place, w.T, behind)[::-1]
+        both = _forward(own, place, w, begin) * g / own
+        yield a, b, both / (1 + both)
+        behind = _step(g[0], w.T)
+
+
 @dataclass
 class Chain:
     """Weights of a chain: of sparse features (ids by position), dense features, and transitions (as logarithms)."""
@@ -108,6 +133,14 @@ class Chain:
             out += values @ self.dense
         return out
 
+    def windows(self, scores: np.ndarray, place: np.ndarray, window: int) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(start, stop, marginals) of all sequences at once, or of one long one by windows."""
+        w = np.exp(self.transitions)
+        if len(place) == 2 and len(scores) > window:
+            yield from posterior_windows(scores, w, window)
+        elif len(scores):
+            yield 0, len(scores), posterior(scores, place, w)[0]
+
     def marginals(self, ids: np.ndarray | None, values: np.ndarray | None, place: np.ndarray) -> np.ndarray:
         return posterior(self.scores(ids, values), place, np.exp(self.transitions))[0]
 

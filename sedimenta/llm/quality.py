@@ -8,6 +8,7 @@ the first chain are taken as good, and the chain is trained again.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,55 +32,78 @@ _CLASSES = [
 ]
 _MASKS = np.stack([vectext.byte_class(c) for c in _CLASSES])
 _NOT_NEWLINE = ~vectext.byte_class(b"\n")
-
-
-def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features by line, first line of each text, bytes by line); lines without a byte are none."""
-    lines = vectext.Words(data, offsets, _NOT_NEWLINE)
-    size = (lines.ends - lines.starts).astype(float)
-    if not len(lines):
-        return np.zeros((0, 3 * (len(_CLASSES) + 14))), lines.place, size
-    columns = []
-    for mask in _MASKS:
-        sums = np.concatenate([[0], np.cumsum(mask[data], dtype=np.int32)])
-        columns.append((sums[lines.ends] - sums[lines.starts]) / size)
-    words = vectext.Words(data, offsets, vectext.NOT_SPACE)
-    hashes = words.hashes()
-    owner = np.searchsorted(lines.starts, words.starts, "right") - 1
-    count = np.bincount(owner, minlength=len(lines)).astype(float)
-    again = np.zeros(len(hashes), bool)
-    again[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
-    repeats = np.bincount(owner[again], minlength=len(lines)) / np.maximum(count, 1)
-    keys = np.unique((owner.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24)))
-    distinct = np.bincount((keys >> np.uint64(40)).astype(np.int64), minlength=len(lines)) / np.maximum(count, 1)
-    length = np.bincount(owner, words.ends - words.starts, minlength=len(lines)) / np.maximum(count, 1)
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(lines.place))
-    own = vectext.mix(lines.hashes() ^ text.astype(np.uint64))
-    _, back, times = np.unique(own, return_inverse=True, return_counts=True)
-    upper, _, _, _, bang, symbol, pipe = columns[:7]
-    columns += [
-        np.minimum(length / 20, 3),
-        repeats,
-        distinct,
-        np.log1p(size) / 10,
-        np.log1p(count) / 10,
-        np.log1p(times[back] - 1) / 3,
-        (repeats > 0.3).astype(float),
-        (distinct < 0.4).astype(float) * (count > 8),
-        (upper > 0.4).astype(float) * (size > 8),
-        np.tanh(8 * bang),
-        np.tanh(8 * symbol),
-        np.tanh(8 * pipe),
-        (length > 25).astype(float),
-        (count < 3).astype(float),
-    ]
-    here = np.stack(columns, 1)
-    first = np.zeros(len(lines), bool)
-    first[lines.place[:-1][np.diff(lines.place) > 0]] = True
-    before, after = np.roll(here, 1, 0), np.roll(here, -1, 0)
-    before[first] = 0
-    after[np.roll(first, -1)] = 0
-    return np.hstack([here, before, after]), lines.place, size
+#: Lines of one text whose marginals are taken at a time.
+WINDOW = 1 << 18
+
+
+#: Lines whose features are made at a time.
+LINES = 1 << 13
+
+
+class Lines(vectext.Words):
+    """The lines of all texts of a block that have a byte, and how often each is in its text."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        super().__init__(data, offsets, _NOT_NEWLINE)
+        self.size = (self.ends - self.starts).astype(float)
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.place))
+        _, back, times = np.unique(vectext.mix(self.hashes() ^ text.astype(np.uint64)), return_inverse=True, return_counts=True)
+        self.times = times[back]
+
+    def ranges(self, limit: int = LINES) -> Iterator[tuple[int, int]]:
+        """Ranges of at most limit lines and about a window of bytes."""
+        first = 0
+        while first < len(self):
+            last = int(np.searchsorted(self.starts, self.starts[first] + vectext.WINDOW))
+            last = max(first + 1, min(last, first + limit))
+            yield first, last
+            first = last
+
+    def _here(self, first: int, last: int) -> np.ndarray:
+        """The own features of lines first to last."""
+        base, stop = int(self.starts[first]), int(self.ends[last - 1])
+        data = self.data[base:stop]
+        starts, ends, size = self.starts[first:last] - base, self.ends[first:last] - base, self.size[first:last]
+        columns = [vectext.sums_within(data, starts, ends, mask) / size for mask in _MASKS]
+        words = vectext.Words(data, np.unique(np.clip(self.offsets - base, 0, len(data))), vectext.NOT_SPACE)
+        hashes = words.hashes()
+        owner = np.searchsorted(starts, words.starts, "right") - 1
+        count = np.bincount(owner, minlength=len(starts)).astype(float)
+        again = np.zeros(len(hashes), bool)
+        again[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
+        repeats = np.bincount(owner[again], minlength=len(starts)) / np.maximum(count, 1)
+        keys = np.unique((owner.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24)))
+        distinct = np.bincount((keys >> np.uint64(40)).astype(np.int64), minlength=len(starts)) / np.maximum(count, 1)
+        length = np.bincount(owner, words.ends - words.starts, minlength=len(starts)) / np.maximum(count, 1)
+        upper, _, _, _, bang, symbol, pipe = columns[:7]
+        columns += [
+            np.minimum(length / 20, 3),
+            repeats,
+            distinct,
+            np.log1p(size) / 10,
+            np.log1p(count) / 10,
+            np.log1p(self.times[first:last] - 1) / 3,
+            (repeats > 0.3).astype(float),
+            (distinct < 0.4).astype(float) * (count > 8),
+            (upper > 0.4).astype(float) * (size > 8),
+            np.tanh(8 * bang),
+            np.tanh(8 * symbol),
+            np.tanh(8 * pipe),
+            (length > 25).astype(float),
+            (count < 3).astype(float),
+        ]
+        return np.stack(columns, 1)
+
+    def features(self, first: int, last: int) -> np.ndarray:
+        """The features of lines first to last: their own, and those of the lines before and after them in their text."""
+        low, high = max(first - 1, 0), min(last + 1, len(self))
+        own = self._here(low, high)
+        begins = np.zeros(high - low + 1, bool)
+        begins[self.place[(self.place >= low) & (self.place <= high)] - low] = True
+        before, after = np.roll(own, 1, 0), np.roll(own, -1, 0)
+        before[begins[:-1]] = 0
+        after[begins[1:]] = 0
+        return np.hstack([own, before, after])[first - low : last - low]
 
 
 def _document(good: np.ndarray, place: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -103,9 +127,19 @@ class Model:
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.chain is None:
             return np.full(len(offsets) - 1, self.prior)
-        values, place, size = line_features(data, offsets)
-        good = self.chain.marginals(None, values, place) if len(values) else np.zeros(0)
-        return crf.apply_logistic(self.weights, _document(good, place, size))
+        lines = Lines(data, offsets)
+        scores = np.empty(len(lines))
+        for first, last in lines.ranges():
+            scores[first:last] = self.chain.scores(None, lines.features(first, last))
+        if len(offsets) > 2 or len(lines) <= WINDOW:
+            good = np.concatenate([np.zeros(0), *(p for _, _, p in self.chain.windows(scores, lines.place, WINDOW))])
+            return crf.apply_logistic(self.weights, _document(good, lines.place, lines.size))
+        sums = np.zeros(2)
+        for first, last, good in self.chain.windows(scores, lines.place, WINDOW):
+            size = lines.size[first:last]
+            sums += [(size * good).sum(), (size * (good < 0.5)).sum()]
+        mean, bad = sums / lines.size.sum()
+        return crf.apply_logistic(self.weights, np.array([[mean, np.log((mean + 1e-3) / (1 - mean + 1e-3)), bad]]))
 
 
 def fit(sample: pa.Table, seen: list[int]) -> Model:
@@ -116,9 +150,10 @@ def fit(sample: pa.Table, seen: list[int]) -> Model:
         return Model(None, None, prior)
     texts = sample["text"].combine_chunks()
     # By blocks, for the driver's memory.
-    parts = [line_features(*vectext.flat(texts.slice(start, stop - start))) for start, stop in vectext.blocks(texts)]
-    values, size = np.concatenate([p[0] for p in parts]), np.concatenate([p[2] for p in parts])
-    place = np.cumsum(np.concatenate([np.zeros(1, np.int64), *(np.diff(p[1]) for p in parts)]))
+    parts = [Lines(*vectext.flat(texts.slice(start, stop - start))) for start, stop in vectext.blocks(texts)]
+    none = np.zeros((0, 3 * (len(_CLASSES) + 14)))
+    values, size = np.concatenate([none, *(p.features(*r) for p in parts for r in p.ranges())]), np.concatenate([p.size for p in parts])
+    place = np.cumsum(np.concatenate([np.zeros(1, np.int64), *(np.diff(p.place) for p in parts)]))
     owner = np.repeat(np.arange(len(labels)), np.diff(place))
     y = labels[owner].astype(float)
     chain = crf.train(None, values, place, y, epochs=4, batch_positions=6000, rate=0.05, least_steps=100)
@@ -150,7 +185,8 @@ def train_model(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model:
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score), a row for each row of docs: the chance that the document is good, 0 to 1.
 
-    Every text is scored whole. Null counts as empty; a text without lines has the score of a document that is as
+    Every text is scored whole; one text of many megabytes takes a worker some 60 bytes for each of its lines, and for
+    each word of its longest line. Null counts as empty; a text without lines has the score of a document that is as
     often good as bad by its lines, moved by the share of good documents. Without labels of both kinds the score is
     the share of good labels, or 0.5. Scores depend on the text only, so repeated rows have equal ones. Further
     columns are not read.

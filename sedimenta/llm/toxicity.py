@@ -28,18 +28,27 @@ MARGIN, TIMES, LIFT = 1.0, 3, 8.0
 SUPPORT = 3
 
 
-def word_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, vectext.Words]:
-    """(feature ids by word: the word, its beginnings, the word before, the word after; the words)."""
-    words = vectext.Words(data, offsets, vectext.ALNUM)
-    own = [words.hashes(), *(words.hashes(k) for k in PREFIXES)]
-    first = np.zeros(len(words) + 1, bool)
-    first[words.place] = True
-    before, after = np.roll(own[0], 1), np.roll(own[0], -1)
-    before[first[:-1]] = 0
-    after[first[1:]] = 0
+#: Words of one text whose features or marginals are made at a time.
+WINDOW = 1 << 18
+
+
+def word_features(words: vectext.Words, first: int, last: int) -> np.ndarray:
+    """Feature ids of words first to last: the word, its beginnings, the word before, the word after."""
+    low, high = max(first - 1, 0), min(last + 1, len(words))
+    near = words.hashes(None, low, high)
+    begins = np.zeros(high - low + 1, bool)
+    begins[words.place[(words.place >= low) & (words.place <= high)] - low] = True
+    before, after = np.roll(near, 1), np.roll(near, -1)
+    before[begins[:-1]] = 0
+    after[begins[1:]] = 0
+    own = slice(first - low, last - low)
     mask = np.uint64((1 << TABLE_BITS) - 1)
-    columns = [vectext.mix(h + np.uint64(k + 1)) & mask for k, h in enumerate([*own, before, after])]
-    return np.stack(columns, 1).astype(np.int32) if len(words) else np.zeros((0, len(columns)), np.int32), words
+    columns = [near[own], *(words.hashes(k, first, last) for k in PREFIXES), before[own], after[own]]
+    return np.stack([vectext.mix(h + np.uint64(k + 1)) & mask for k, h in enumerate(columns)], 1).astype(np.int32)
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray) -> vectext.Words:
+    return vectext.Words(data, offsets, vectext.ALNUM)
 
 
 def _minima(words: vectext.Words) -> np.ndarray:
@@ -72,8 +81,8 @@ def _seeds(ids: np.ndarray, place: np.ndarray, original: np.ndarray, labels: np.
     return (share > base) & (toxic >= TIMES) & (surprise >= needed) & (odds >= LIFT), n >= SUPPORT
 
 
-def _document(toxic: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Features of each text: logarithm of the expected number of toxic words among those that may well be, and the log-odds of the worst word.
+def _sums(toxic: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """By text: the expected number of toxic words among those that may well be, and the marginal of the worst word.
 
     Words that are almost surely clean are left out, or many of them would add up in a long text.
     """
@@ -84,8 +93,13 @@ def _document(toxic: np.ndarray, place: np.ndarray) -> np.ndarray:
     full = np.diff(place) > 0
     if len(toxic):
         worst[full] = np.maximum.reduceat(toxic, place[:-1][full])
-    worst = np.clip(worst, 1e-4, 1 - 1e-4)
-    return np.stack([np.log(expected + 1e-2), np.log(worst / (1 - worst))], 1)
+    return np.stack([expected, worst], 1)
+
+
+def _document(sums: np.ndarray) -> np.ndarray:
+    """Features of each text: logarithm of the expected number of toxic words, and the log-odds of the worst one."""
+    worst = np.clip(sums[:, 1], 1e-4, 1 - 1e-4)
+    return np.stack([np.log(sums[:, 0] + 1e-2), np.log(worst / (1 - worst))], 1)
 
 
 @dataclass
@@ -94,13 +108,27 @@ class Model:
     weights: np.ndarray | None
     prior: float
 
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, vectext.Words | None]:
-        """(score by text, toxic marginal by word, words)."""
+    def score(self, data: np.ndarray, offsets: np.ndarray, threshold: float = 0.5) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], vectext.Words | None]:
+        """(score by text, (numbers of words with a toxic marginal of threshold or more, those marginals), words)."""
+        none = np.zeros(0, np.int64), np.zeros(0)
         if self.chain is None:
-            return np.full(len(offsets) - 1, self.prior), np.zeros(0), None
-        ids, words = word_features(data, offsets)
-        toxic = self.chain.marginals(ids, None, words.place) if len(words) else np.zeros(0)
-        return crf.apply_logistic(self.weights, _document(toxic, words.place)), toxic, words
+            return np.full(len(offsets) - 1, self.prior), none, None
+        words = words_of(data, offsets)
+        scores = np.empty(len(words))
+        for first, last in words.ranges(WINDOW):
+            scores[first:last] = self.chain.scores(word_features(words, first, last), None)
+        hits, features = [], np.zeros((0, 2))
+        for first, last, toxic in self.chain.windows(scores, words.place, WINDOW):
+            at = np.flatnonzero(toxic >= threshold)
+            hits.append((at + first, toxic[at]))
+            features = np.concatenate([features, _sums(toxic, words.place if last - first == len(words) else np.array([0, last - first]))])
+        if len(offsets) == 2:  # one text, perhaps in several windows, the last one first
+            features = np.array([[features[:, 0].sum(), features[:, 1].max(initial=0.0)]])
+        elif not len(words):
+            features = np.zeros((len(offsets) - 1, 2))
+        hits.reverse()
+        found = (np.concatenate([h[k] for h in hits]) for k in (0, 1)) if hits else none
+        return crf.apply_logistic(self.weights, _document(features)), tuple(found), words
 
 
 def fit(sample: pa.Table, seen: list[int]) -> Model:
@@ -111,8 +139,8 @@ def fit(sample: pa.Table, seen: list[int]) -> Model:
     texts = sample["text"].combine_chunks()
     parts, counts, minima = [], [np.zeros(1, np.int64)], []
     for start, stop in vectext.blocks(texts):  # by blocks, for the driver's memory
-        found, words = word_features(*vectext.flat(texts.slice(start, stop - start)))
-        parts.append(found)
+        words = words_of(*vectext.flat(texts.slice(start, stop - start)))
+        parts.append(word_features(words, 0, len(words)) if len(words) else np.zeros((0, 3 + len(PREFIXES)), np.int32))
         counts.append(np.diff(words.place))
         minima.append(_minima(words))
     ids, place = np.concatenate(parts), np.cumsum(np.concatenate(counts))
@@ -124,30 +152,34 @@ def fit(sample: pa.Table, seen: list[int]) -> Model:
     ids = np.where(supported[ids], ids, none)
     chain = crf.train(ids, None, place, marked.astype(float), n_sparse=1 << TABLE_BITS, epochs=4, batch_positions=30_000, rate=0.05, l2=1e-5, least_steps=150)
     chain.sparse[~supported] = 0.0
-    features = _document(chain.marginals(ids, None, place), place)
+    features = _document(_sums(chain.marginals(ids, None, place), place))
     share = np.array(seen) / np.maximum(np.bincount(labels, minlength=2), 1)
     return Model(chain, crf.logistic(features, labels, share[labels] / share.max()), prior)
 
 
-def _spans(toxic: np.ndarray, words: vectext.Words, threshold: float) -> list[list[dict]]:
-    """By text, runs of neighbouring words with a marginal of threshold or more: (start, stop) in characters, and the highest marginal."""
+def _spans(found: tuple[np.ndarray, np.ndarray], words: vectext.Words) -> list[list[dict]]:
+    """By text, runs of neighbouring words among those found: (start, stop) in characters, and the highest marginal."""
     out: list[list[dict]] = [[] for _ in range(len(words.place) - 1)]
-    hits = np.flatnonzero(toxic >= threshold)
+    hits, toxic = found
     if not len(hits):
         return out
     text = np.searchsorted(words.place, hits, "right") - 1
     opens = np.ones(len(hits), bool)
     opens[1:] = (np.diff(hits) > 1) | (np.diff(text) > 0)
-    characters = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
     begin = np.flatnonzero(opens)
     end = np.append(begin[1:], len(hits)) - 1
-    top = np.maximum.reduceat(toxic[hits], begin)
-    for b, e, p in zip(begin, end, top, strict=True):
-        base = characters[words.offsets[text[b]]]
-        out[text[b]].append({"start": int(characters[words.starts[hits[b]]] - base), "stop": int(characters[words.ends[hits[e]]] - base), "score": float(p)})
+    top = np.maximum.reduceat(toxic, begin)
+    # Characters up to each place: places come in order, so what is between two of them is counted once.
+    places = np.stack([words.offsets[text[begin]], words.starts[hits[begin]], words.ends[hits[end]]], 1).ravel()
+    marks, back = np.unique(places, return_inverse=True)
+    counted = np.cumsum(vectext.sums_within(words.data, np.concatenate([[0], marks[:-1]]), marks, _BEGINS))[back.ravel()].reshape(-1, 3)
+    for k, (base, start, stop) in enumerate(counted.tolist()):
+        out[text[begin[k]]].append({"start": start - base, "stop": stop - base, "score": float(top[k])})
     return out
 
 
+#: Bytes that begin a character.
+_BEGINS = np.array([b & 0xC0 != 0x80 for b in range(256)])
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("score", pa.float64())]))
 
 
@@ -156,8 +188,8 @@ def _scorer(model: Model, threshold: float):
         vectext.release()
         for batch in batches:
             for start, stop in vectext.blocks(batch.column(1)):
-                scores, toxic, words = model.score(*vectext.flat(batch.column(1).slice(start, stop - start)))
-                spans = _spans(toxic, words, threshold) if words is not None else [[]] * (stop - start)
+                scores, found, words = model.score(*vectext.flat(batch.column(1).slice(start, stop - start)), threshold)
+                spans = _spans(found, words) if words is not None else [[]] * (stop - start)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), pa.array(scores, pa.float64()), pa.array(spans, _SPANS)], ["doc_id", "score", "spans"])
 
     return run
@@ -171,7 +203,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """(doc_id, score, spans), a row for each row of docs.
 
     score is the chance that the document is toxic, 0 to 1; spans are the offending places as (start, stop, score),
-    in characters of the text. Every text is scored whole. Null counts as empty: no spans, and the score of a text
+    in characters of the text. Every text is scored whole; one text of many megabytes takes a worker some 30 bytes for
+    each of its words. Null counts as empty: no spans, and the score of a text
     without a toxic word. Without labels of both kinds the score is the share of toxic labels, or 0.5. Repeated rows
     have equal results; further columns are not read.
     """
