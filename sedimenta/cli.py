@@ -8,6 +8,7 @@ import os
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.functions.ordering import walk_order
 from sedimenta.operators import enrich as enrichment
 from sedimenta.operators import forum, inventory, knowledge, repair, signatures
 from sedimenta.plans.build import build
@@ -55,7 +56,7 @@ def build_tables(spark: SparkSession, input_root: str, out: str, kinds: str | No
 def _posts(spark: SparkSession, path: str):
     schema = (
         "post_key string, architecture string, source_page_kind string, observed_domains array<string>, topic_key string, topic_id string, topic_title string, forum_key string, forum_id string, forum_title string,"
-        " author_key string, author_display string, role_label string, role_classification string, deleted_or_guest boolean, location_raw string, posted_at string, posted_at_raw string, body_text string, links array<string>, first_source_file string"
+        " author_key string, author_display string, role_label string, role_classification string, deleted_or_guest boolean, location_raw string, posted_at string, posted_at_raw string, body_text string, links array<string>, first_source_file string, source_position int"
     )
     return tables.read_jsonl(spark, path, schema)
 
@@ -64,7 +65,7 @@ def refine(spark: SparkSession, run: str, options: signatures.Options = signatur
     """Posts without the signatures that their authors repeat, and the signatures."""
     posts = _posts(spark, f"{run}/warehouse/posts.jsonl")
     told = posts.filter("architecture = 'asp' and source_page_kind = 'topic' and author_key is not null").select(
-        "post_key", F.col("author_key").alias("user_key"), F.coalesce("body_text", F.lit("")).alias("body"), "author_display", F.col("post_key").alias("ord")
+        "post_key", F.col("author_key").alias("user_key"), F.coalesce("body_text", F.lit("")).alias("body"), "author_display", F.struct(walk_order(F.col("first_source_file")).alias("page"), F.col("source_position").alias("pos")).alias("ord")
     )
     found = signatures.profiles(*signatures.candidates(told, options), options).persist()
     clean = signatures.strip_signatures(told, found, options=options)

@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions import text
+from sedimenta.session import cut_lineage
+
+
+#: Users with signatures (some 200 bytes each) that are broadcast at most.
+BROADCAST_USERS = 100_000
 
 
 @dataclass(frozen=True)
@@ -31,23 +36,33 @@ class Options:
 
 def is_candidate(candidate: Column, whole: Column, options: Options = Options()) -> Column:
     """Whether an ending has the shape of a signature."""
-    c, w = text.squeeze(candidate), text.squeeze(whole)
+    return _shaped(text.squeeze(candidate), F.length(text.squeeze(whole)), options)
+
+
+def _shaped(c: Column, whole_size: Column, options: Options) -> Column:
+    """The same of a squeezed ending and the squeezed length of the whole text."""
     words = F.filter(F.split(text.collapse(c), " ", -1), lambda x: x != "")
     return (
         F.length(c).between(options.min_chars, options.max_chars)
         & (F.size(words) >= options.min_words)
-        & (F.length(w) - F.length(c) >= options.min_prefix)
+        & (whole_size - F.length(c) >= options.min_prefix)
         & (F.regexp_count(c, F.lit("\n")) + 1 <= options.max_lines)
         & ~c.rlike(r"\A[-_=~. ]+\z")
     )
 
 
 def endings(posts: DataFrame, options: Options = Options()) -> DataFrame:
-    """posts with n_blocks and an array 'endings' of struct(depth, raw), the last blocks of texts that have more; posts has a column body."""
+    """posts with n_blocks and an array 'endings' of struct(depth, raw, squeezed), the last blocks of texts that have more; posts has a column body.
+
+    squeezed is null for endings that are too long for a signature whatever white space they have.
+    """
     blocks = text.split_blocks(F.col("body"), options.separator)
     posts = posts.withColumn("blocks", blocks).withColumn("n_blocks", F.size("blocks"))
-    rows = [F.when(F.col("n_blocks") > n, F.struct(F.lit(n).alias("depth"), text.join_blocks(F.slice("blocks", -n, n), options.joint).alias("raw"))) for n in options.depths]
-    return posts.withColumn("endings", F.array_compact(F.array(*rows)))
+    raws = [F.when(F.col("n_blocks") > n, F.struct(F.lit(n).alias("depth"), text.join_blocks(F.slice("blocks", -n, n), options.joint).alias("raw"))) for n in options.depths]
+    posts = posts.withColumn("raws", F.array_compact(F.array(*raws)))
+    short = lambda raw: F.length(F.translate(raw, " \t\n\r\xa0", "")) <= options.max_chars
+    squeezed = lambda e: F.struct(e["depth"].alias("depth"), e["raw"].alias("raw"), F.when(short(e["raw"]), text.squeeze(e["raw"])).alias("squeezed"))
+    return posts.withColumn("endings", F.transform("raws", squeezed)).drop("raws")
 
 
 def candidates(posts: DataFrame, options: Options = Options()) -> tuple[DataFrame, DataFrame]:
@@ -57,7 +72,9 @@ def candidates(posts: DataFrame, options: Options = Options()) -> tuple[DataFram
     """
     told = endings(posts.filter("user_key is not null and user_key <> ''"), options).filter("n_blocks >= 2")
     users = told.groupBy("user_key").agg(F.count("*").alias("user_posts"), F.max(F.when(F.col("author_display") != "", F.struct("ord", "author_display")))["author_display"].alias("author_display"))
-    each = told.select("user_key", "ord", "body", F.explode("endings").alias("e")).filter(is_candidate(F.col("e.raw"), F.col("body"), options))
+    # An inner explode would have the endings made again, to ask whether there are any.
+    # The text is measured once, and stays behind: only endings go on, and of those only what can be a signature.
+    each = told.select("user_key", "ord", F.length(text.squeeze(F.col("body"))).alias("whole_size"), F.explode_outer("endings").alias("e")).filter(F.col("e.squeezed").isNotNull() & _shaped(F.col("e.squeezed"), F.col("whole_size"), options))
     each = each.withColumn("normalized", text.normalize_signature(F.col("e.raw"))).filter("normalized <> ''")
     first = F.min(F.struct("ord", F.col("e.depth").alias("depth"), F.col("e.raw").alias("raw")))
     counted = each.groupBy("user_key", "normalized").agg(F.count("*").alias("count"), first.alias("f"))
@@ -92,16 +109,32 @@ def strip_signatures(posts: DataFrame, found: DataFrame, key: str = "post_key",
     """(key, body, clean, signature): the text of each post without its user's signature; signature is null where none is at its end.
 
     The ending must equal a signature in compared form and leave something before it; deeper, longer, more frequent
-    signatures go first. Only endings are moved to meet the signatures, and only those that match come back.
+    signatures go first. A post meets the few signatures of its user, as digests; no text but the post's own is moved,
+    and that only if the signatures are too many to be sent to all executors (BROADCAST_USERS).
     """
-    told = endings(posts, options)
-    each = told.filter("n_blocks >= 2").select(F.col(key).alias("_key"), "user_key", F.explode("endings").alias("e"), "blocks", "n_blocks")
-    each = each.select("_key", "user_key", "e.depth", "e.raw", text.normalize_signature(F.col("e.raw")).alias("normalized"), text.join_blocks(F.slice("blocks", 1, F.col("n_blocks") - F.col("e.depth")), options.joint).alias("clean"))
-    known = found.select("user_key", "normalized", "depth", F.length("raw").alias("size"), "count")
-    met = each.filter("clean <> ''").join(known, ["user_key", "normalized", "depth"])
-    best = met.groupBy("_key").agg(F.max(F.struct("depth", "size", "count", "raw", "clean")).alias("b"))
-    out = posts.select(F.col(key).alias("_key"), "body").join(best, "_key", "left")
-    return out.select(F.col("_key").alias(key), "body", F.coalesce("b.clean", "body").alias("clean"), F.col("b.raw").alias("signature"))
+    item = F.struct("depth", F.length("raw").alias("size"), "count", F.md5("normalized").alias("digest"))
+    known = cut_lineage(found.groupBy("user_key").agg(F.collect_list(item).alias("known")))
+    known = F.broadcast(known) if known.count() <= BROADCAST_USERS else known
+    told = posts.select(F.col(key).alias("_key"), "user_key", "body").join(known, "user_key", "left")
+    able = F.col("known").isNotNull()
+    told = told.withColumn("blocks", F.when(able, text.split_blocks(F.col("body"), options.separator))).withColumn("n_blocks", F.size("blocks"))
+
+    # Only where a user has a signature of that many blocks is an ending put together and compared.
+    for n in options.depths:
+        raw = text.join_blocks(F.slice("blocks", -n, n), options.joint)
+        told = told.withColumn(f"_raw_{n}", F.when(able & (F.col("n_blocks") > n) & F.array_contains(F.col("known.depth"), n), raw))
+    for n in options.depths:
+        told = told.withColumn(f"_digest_{n}", F.when(F.col(f"_raw_{n}").isNotNull(), F.md5(text.normalize_signature(F.col(f"_raw_{n}")))))
+
+    def match(n: int) -> Column:
+        same = F.filter("known", lambda k: (k["depth"] == n) & (k["digest"] == F.col(f"_digest_{n}")))
+        return F.array_max(F.transform(same, lambda k: F.struct(k["depth"].alias("depth"), k["size"].alias("size"), k["count"].alias("count"))))
+
+    told = told.withColumn("depth", F.array_max(F.array(*(match(n) for n in options.depths)))["depth"])
+    clean = text.join_blocks(F.slice("blocks", F.lit(1), F.col("n_blocks") - F.col("depth")), options.joint)
+    signature = text.join_blocks(F.slice("blocks", -F.col("depth"), F.col("depth")), options.joint)
+    cut = F.col("depth").isNotNull()
+    return told.select(F.col("_key").alias(key), "body", F.when(cut, clean).otherwise(F.col("body")).alias("clean"), F.when(cut, signature).alias("signature"))
 
 
 def signature_profiles(found: DataFrame) -> DataFrame:

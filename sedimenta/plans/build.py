@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions import classify, text
 from sedimenta.operators import forum, identity, knowledge
-from sedimenta.operators.reduce import first_filled, first_wins, last_filled, running_last, with_date_bounds
+from sedimenta.operators.reduce import first_filled, first_wins, last_filled, with_date_bounds, with_running_last
+from sedimenta.session import cut_lineage
 
 
 @dataclass
@@ -28,7 +29,9 @@ def build(pages: DataFrame, compat: bool = True) -> Warehouse:
     asp, phpbb, quotes = forum.asp_topic_pages(pages), forum.phpbb_topic_pages(pages), forum.asp_quote_pages(pages)
     seen_topics = reduce(DataFrame.unionByName, [t.select(forum.TOPIC_COLUMNS) for t in (asp, phpbb, quotes)])
     seen_posts = forum.asp_posts(asp).unionByName(forum.phpbb_posts(phpbb))
-    running = seen_topics.select("rel", *(F.coalesce(running_last(F.col(c), ["topic_key"], ["ord"]), F.lit("")).alias(f"now_{c}") for c in ("forum_id", "forum_title", "topic_title")))
+    # Written once: six tables are made of them, and pages are parsed no more.
+    seen_topics, seen_posts = cut_lineage(seen_topics), cut_lineage(seen_posts)
+    running = running_titles(seen_topics)
 
     posts = warehouse_posts(seen_posts, running)
     topics = warehouse_topics(seen_topics, seen_posts)
@@ -37,6 +40,13 @@ def build(pages: DataFrame, compat: bool = True) -> Warehouse:
     return Warehouse(posts, topics, users, salvage(quotes, running, posts, users), identities, knowledge.knowledge_posts(posts))
 
 
+def running_titles(seen: DataFrame) -> DataFrame:
+    """(rel, now_forum_id, now_forum_title, now_topic_title): what is known of a page's topic when that page has been read."""
+    names = ("forum_id", "forum_title", "topic_title")
+    told = with_running_last(seen.select("rel", "topic_key", "ord", *names), {f"now_{c}": c for c in names}, ["topic_key"], ["ord"])
+    return told.select("rel", *(F.coalesce(f"now_{c}", F.lit("")).alias(f"now_{c}") for c in names))
+
+
 def _forum(forum_id: str, architecture: str = "architecture"):
     filled = F.col(forum_id) != ""
     return F.when(filled, F.concat_ws(":", architecture, F.lit("forum"), forum_id)).alias("forum_key"), F.when(filled, F.col(forum_id)).alias("forum_id")
@@ -48,7 +58,7 @@ def warehouse_posts(seen: DataFrame, running: DataFrame) -> DataFrame:
     return first.select(
         "post_key", "architecture", "source_page_kind", F.array("domain").alias("observed_domains"), "topic_key", "topic_id", F.col("now_topic_title").alias("topic_title"), *_forum("now_forum_id"),
         F.col("now_forum_title").alias("forum_title"), "author_key", "author_display", "role_label", classify.role_class(F.col("role_label")).alias("role_classification"), "deleted_or_guest",
-        "location_raw", F.col("posted.iso").alias("posted_at"), F.col("posted.raw").alias("posted_at_raw"), "body_text", "links", F.col("rel").alias("first_source_file"),
+        "location_raw", F.col("posted.iso").alias("posted_at"), F.col("posted.raw").alias("posted_at_raw"), "body_text", "links", F.col("rel").alias("first_source_file"), F.col("pos").cast("int").alias("source_position"),
     )
 
 

@@ -12,6 +12,7 @@ from sedimenta.functions import classify, dates, text, udfs
 from sedimenta.functions.ordering import walk_order
 from sedimenta.operators import identity, inventory, knowledge, reduce, repair, signatures
 from sedimenta.plans import build
+from sedimenta.session import cut_lineage
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -222,7 +223,8 @@ def first_wins_dedup(spark, sf_dir):
 )
 def running_last_nonempty(spark, sf_dir):
     told = F.when(F.col("event_type") == "error", "").otherwise(F.col("event_type"))
-    return _t(spark, sf_dir, "events").select("event_id", reduce.running_last(told, ["user_id"], ["ts", "event_id"]).alias("running"))
+    events = _t(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    return reduce.with_running_last(events, {"running": told}, ["user_id"], ["ts", "event_id"]).select("event_id", "running")
 
 
 @query(
@@ -403,9 +405,10 @@ def forum_round_trip(spark, sf_dir):
         "o_custkey", "o_custkey", "o_custkey", "o_custkey", "o_orderkey", F.date_format("o_orderdate", "dd/MM/yyyy HH:mm:ss"), "o_orderpriority", "o_orderstatus",
     )
     rel = F.concat(F.lit("s/asp/page/topic/"), F.col("o_orderkey"), F.lit(".html"))
-    pages = _t(spark, sf_dir, "orders").select(rel.alias("rel"), F.lit("asp_topic").alias("kind"), F.lit("s").alias("domain"), walk_order(rel).alias("ord"), html.alias("html"))
+    # Orders are narrow and their pages are not, nor is parsing them cheap: dealt to all cores before pages are made.
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus").repartition(spark.sparkContext.defaultParallelism)
+    pages = orders.select(rel.alias("rel"), F.lit("asp_topic").alias("kind"), F.lit("s").alias("domain"), walk_order(rel).alias("ord"), html.alias("html"))
     topics = build.forum.asp_topic_pages(pages)
-    seen = topics.select(build.forum.TOPIC_COLUMNS)
-    running = seen.select("rel", *(F.coalesce(reduce.running_last(F.col(c), ["topic_key"], ["ord"]), F.lit("")).alias(f"now_{c}") for c in ("forum_id", "forum_title", "topic_title")))
-    posts = build.warehouse_posts(build.forum.asp_posts(topics), running)
+    seen, told = cut_lineage(topics.select(build.forum.TOPIC_COLUMNS)), cut_lineage(build.forum.asp_posts(topics))
+    posts = build.warehouse_posts(told, build.running_titles(seen))
     return posts.select("post_key", "topic_key", "topic_title", "author_key", "author_display", "role_classification", "posted_at", "body_text")

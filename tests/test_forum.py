@@ -89,3 +89,20 @@ def test_command_line(spark, tmp_path):
     assert cli.repair_topics(spark, run, str(root)) == {"topics_patched": 0}
     one = next(Path(run, "warehouse/users.jsonl").glob("part-*")).read_text(encoding="utf-8").splitlines()[0]
     assert "merged_identity_key" in json.loads(one)  # nulls are written too
+
+
+def test_refine_takes_posts_in_the_order_of_pages(spark, tmp_path):
+    """Neither the order of keys nor of lines counts: the example of a signature is that of the first page's first post."""
+    (tmp_path / "warehouse").mkdir()
+    post = lambda key, page, at, sig: {
+        "post_key": key, "architecture": "asp", "source_page_kind": "topic", "author_key": "asp:user:1", "author_display": f"name {key}", "first_source_file": page, "source_position": at,
+        "body_text": f"some text of post {key} that is long enough\n\n{sig}", "role_label": "", "links": [],
+    }
+    rows = [post("asp:post:10", "a/1.html", 0, "Best Regards, Ann"), post("asp:post:9", "a/1.html", 1, "best regards, ann")] + [post(f"asp:post:{k}", f"b/{k}.html", 0, "best regards, Ann") for k in (1, 2, 3)]
+    with open(tmp_path / "warehouse" / "posts.jsonl", "w") as f:
+        f.writelines(json.dumps(r) + "\n" for r in reversed(rows))
+    done = cli.refine(spark, str(tmp_path))
+    assert done["signatures_removed"] == 5 and done["profiles"] == 1
+    path = f"{done['run']}/signature_profiles.jsonl"
+    row = spark.read.json(path).collect()[0]
+    assert row.signature_text_example == "Best Regards, Ann" and row.author_display == "name asp:post:3" and row.match_count == 5

@@ -148,3 +148,21 @@ def test_first_wins_and_bounds(spark):
     assert sorted(r.v for r in reduce.first_wins(rows, "k", ["o"]).collect()) == ["y", "z"]
     bounds = {r.k: (r.first_seen_at, r.first_seen_at_raw, r.last_seen_at_raw) for r in reduce.with_date_bounds(rows, "k", "d", "v", "o").collect()}
     assert bounds == {"a": ("2004", "y", "y"), "b": ("2001", "z", "z")}
+
+
+def test_hot_keys(spark):
+    """One key for half of the rows: ordinals, firsts and running values as plain loops have them, over many ranges."""
+    rows = [(i, "hot" if i % 2 else f"k{i % 30}" if i % 7 else None, "" if i % 3 else f"v{i}") for i in range(600)]
+    frame = spark.createDataFrame(rows, "i int, k string, v string").repartition(7)
+    seen, last, expected = {}, {}, {}
+    for i, k, v in rows:
+        seen[k] = seen.get(k, 0) + 1
+        last[k] = v or last.get(k)
+        expected[i] = (seen[k], last[k])
+    numbered = {r.i: r.n for r in reduce.with_ordinal(frame, ["k"], ["i"]).collect()}
+    running = {r.i: r.now for r in reduce.with_running_last(frame, {"now": "v"}, ["k"], ["i"]).collect()}
+    assert {i: (numbered[i], running[i]) for i in numbered} == expected
+    for out, want in ((reduce.mark_duplicates(frame, "k", ["i"], "x"), lambda n: n > 1), (reduce.mark_best(frame, "k", ["i"], "x"), lambda n: n == 1)):
+        assert {r.i: r.x for r in out.collect()} == {i: k is not None and want(expected[i][0]) for i, k, _ in rows}
+    # Of rows that agree in everything, one is the best.
+    assert reduce.mark_best(frame.withColumn("i", F.lit(1)).filter("k = 'hot'"), "k", ["i"], "x").filter("x").count() == 1
