@@ -35,6 +35,8 @@ from sedimenta.llm import vectext
 TOKENIZER = "word_bpe_49k.json"
 #: Bytes that the rolling hash sees, bits of it that are clear at a cut (so chunks have about 2**CUT_BITS bytes), bytes of a chunk at least.
 ROLLED, CUT_BITS, LEAST = 16, 9, 64
+#: Bytes of texts that are encoded at once: the more, the fewer distinct words there are to look up for each byte.
+BLOCK_BYTES = 4 << 20
 #: What a worker keeps of words and of chunks, in bytes.
 WORD_BYTES_KEPT, CHUNK_BYTES_KEPT = 224 << 20, 32 << 20
 
@@ -278,7 +280,7 @@ def worker_codec(path: str, kind: type):
 def _texts(batches, id_at: int = 0, text_at: int = 1) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     for batch in batches:
         texts = batch.column(text_at)
-        for start, stop in vectext.blocks(texts):
+        for start, stop in vectext.blocks(texts, BLOCK_BYTES):
             yield batch.column(id_at).slice(start, stop - start), *vectext.flat(texts.slice(start, stop - start))
 
 
