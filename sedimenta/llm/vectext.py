@@ -8,6 +8,7 @@ and a few numbers for each of its words or lines, not a multiple of its bytes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -171,8 +172,11 @@ def held(key, make):
 
 
 def release() -> None:
-    """Drops what other operators keep in this worker, which Spark hands from one to the next."""
-    _held.clear()
+    """Drops what other operators keep in this worker, which Spark hands from one to the next, and gives the memory back."""
+    if _held:
+        _held.clear()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
 
 
 def byte_class(members: bytes) -> np.ndarray:
