@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sedimenta.plans import forum_queries  # noqa: F401  (adds its queries to the same lists)
 from sedimenta.plans.queries import QUERIES, SQL
 
 
