@@ -43,7 +43,7 @@ def _finished(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("group", F.coalesce("logical_group_key", F.concat(F.lit("\x00"), "source_key", F.lit("/"), "relative")))
     rows = mark_best(rows, "group", ["rank", "ord"], "best").withColumn("best", F.col("best") & F.col("logical_group_key").isNotNull())
     none = F.array().cast("array<struct<code:string,message:string>>")
-    errors = F.when(F.col("failed"), F.array(F.struct(F.lit("unreadable").alias("code"), F.lit("the content could not be read").alias("message")))).otherwise(none)
+    errors = F.when(F.col("failed"), F.array(F.struct(F.lit("file_processing_failed").alias("code"), F.lit("the content could not be read").alias("message")))).otherwise(none)
     flags = F.col("kept_name.flags").withField("collision_suffix_added", F.col("collided"))
     return rows.select(
         "source_key", F.lit("file").alias("entry_type"), F.col("relative").alias("original_relative_path"), F.col("path").alias("original_absolute_path"), "original_filename", "decoded_filename",
@@ -74,5 +74,7 @@ def summary(entries: DataFrame) -> DataFrame:
     )
 
 
-def exceptions(entries: DataFrame) -> DataFrame:
-    return entries.filter(F.size("errors") > 0).select("source_key", "original_relative_path", F.explode("errors").alias("e")).select("source_key", "original_relative_path", "e.code", "e.message")
+def exceptions(entries: DataFrame, stage: str = "prepare") -> DataFrame:
+    """A row for each error of an entry: when and in which stage it was found, of which file, why, and the exception's class and message."""
+    found = entries.filter(F.size("errors") > 0).select("source_key", "original_relative_path", F.explode("errors").alias("e"))
+    return found.select(F.current_timestamp().alias("timestamp"), F.lit(stage).alias("stage"), "source_key", "original_relative_path", F.col("e.code").alias("reason"), F.concat(F.lit("OSError: "), "e.message").alias("exception"))

@@ -22,6 +22,13 @@ class Warehouse:
     post_salvage: DataFrame
     merged_identities: DataFrame
     knowledge_posts: DataFrame
+    #: Keys of topics that no post is known of, and (rel, kind) of pages whose kind needs an id that they haven't got.
+    topic_stubs: DataFrame
+    nameless: DataFrame
+
+
+#: Kinds of pages that go if they name no topic or user.
+NAMED = ("asp_topic", "asp_post", "phpbb_viewtopic", "asp_profile", "phpbb_profile")
 
 
 def build(pages: DataFrame, compat: bool = True) -> Warehouse:
@@ -35,9 +42,13 @@ def build(pages: DataFrame, compat: bool = True) -> Warehouse:
 
     posts = warehouse_posts(seen_posts, running)
     topics = warehouse_topics(seen_topics, seen_posts)
-    sightings = [forum.post_authors(seen_posts), forum.asp_profiles(pages, compat), forum.phpbb_profiles(pages, compat), forum.asp_members(pages), forum.phpbb_members(pages)]
+    profiles = [forum.asp_profiles(pages, compat), forum.phpbb_profiles(pages, compat)]
+    sightings = [forum.post_authors(seen_posts), *profiles, forum.asp_members(pages), forum.phpbb_members(pages)]
     users, identities = warehouse_users(reduce(DataFrame.unionByName, sightings), compat)
-    return Warehouse(posts, topics, users, salvage(quotes, running, posts, users), identities, knowledge.knowledge_posts(posts))
+    stubs = seen_topics.select("topic_key").distinct().join(seen_posts.select("topic_key"), "topic_key", "left_anti")
+    named = reduce(DataFrame.unionByName, [p.select("rel") for p in (seen_topics, *profiles)])
+    nameless = pages.filter(F.col("kind").isin(*NAMED)).select("rel", "kind").join(named, "rel", "left_anti")
+    return Warehouse(posts, topics, users, salvage(quotes, running, posts, users), identities, knowledge.knowledge_posts(posts), stubs, nameless)
 
 
 def running_titles(seen: DataFrame) -> DataFrame:

@@ -12,6 +12,9 @@ from sedimenta.functions.ordering import walk_order
 
 KINDS = ["asp_topic", "asp_post", "asp_profile", "asp_members", "phpbb_viewtopic", "phpbb_profile", "phpbb_memberlist"]
 
+# Fixed value: what makes a page suspect of a wrong encoding; it finds every page with a question, too.
+MOJIBAKE = r"F\?|P\?|Usu\?|Endere\?|Localiza\?|\?\?|\? "
+
 
 def parse_kinds(value: str | None) -> list[str]:
     """Kinds from a list with commas or blanks between them, in lower case; all if there is none."""
@@ -49,9 +52,24 @@ def folders(files: DataFrame, by: str = "source_key") -> DataFrame:
     return files.filter(F.size(parts) > 1).select(by, F.explode(prefixes).alias("folder")).distinct()
 
 
+def directories(files: DataFrame, roots: dict[str, str]) -> DataFrame:
+    """Every folder of the sources as an entry: those that hold files, and below local roots those that hold nothing."""
+    spark = files.sparkSession
+    told = folders(files)
+    bare = [(key, name) for key, root in roots.items() if os.path.isdir(root) for name in empty_folders(root)]
+    if bare:  # from a walk on the driver, as file readers don't see them; folders that hold only empty ones come with them
+        above = [(key, "/".join(name.split("/")[:n])) for key, name in bare for n in range(1, name.count("/") + 2)]
+        told = told.union(spark.createDataFrame(above, "source_key string, folder string")).distinct()
+    root = F.element_at(F.create_map(*(F.lit(x) for pair in roots.items() for x in pair)), F.col("source_key"))
+    return told.select(
+        "source_key", F.lit("directory").alias("entry_type"), F.col("folder").alias("relative_path"), F.concat_ws("/", root, "folder").alias("absolute_path"), F.regexp_replace("folder", r"/?[^/]*\z", "").alias("parent_relative_path"),
+        F.lit("scanned").alias("status"), F.array().cast("array<string>").alias("warnings"), F.array().cast("array<struct<code:string,message:string>>").alias("errors"),
+    )
+
+
 def empty_folders(root: str) -> list[str]:
     """Folders without any entry, which file readers can't see; for local roots."""
-    return sorted(os.path.relpath(d, root) for d, names, files in os.walk(root) if not names and not files)
+    return sorted(os.path.relpath(d, root).replace(os.sep, "/") for d, names, files in os.walk(root) if not names and not files and d != root)
 
 
 def charset_hint(content: Column) -> Column:
@@ -76,7 +94,7 @@ def html_paths(files: DataFrame, kinds: list[str] | None = None, limit: int = 0)
 
 
 def read_pages(spark: SparkSession, root: str, kinds: list[str] | None = None, limit: int = 0, mode: str = "hint", repair: bool = False) -> DataFrame:
-    """Decoded pages below a normalised tree: (rel, kind, domain, ord, html, decoder, charset, error). A page that can't be decoded has an error and no html."""
+    """Decoded pages below a normalised tree: (rel, kind, domain, ord, html, decoder, charset, repaired, mojibake, error). A page that can't be decoded has an error and no html."""
     files = read_files(spark, root, "*.[hH][tT][mM][lL]")
     files = files.withColumn("rel", relative_path(F.col("path"), root))
     whole = F.when(F.contains(F.lower("path"), F.lit("/normalized/")), F.col("path")).otherwise(F.concat(F.lit("normalized/"), "rel"))
@@ -87,8 +105,10 @@ def read_pages(spark: SparkSession, root: str, kinds: list[str] | None = None, l
 def decode_pages(pages: DataFrame, mode: str = "hint", repair: bool = False) -> DataFrame:
     hinted = pages.withColumn("charset", charset_hint(F.col("content")))
     decoded = hinted.withColumn("d", udfs.decoder(mode)(F.col("content"), F.col("charset")))
-    html = udfs.repair_mojibake(F.coalesce("d.text", F.lit(""))) if repair else F.col("d.text")
-    return decoded.select("rel", "kind", "domain", "ord", html.alias("html"), F.col("d.decoder").alias("decoder"), "charset", F.col("d.error").alias("error"))
+    html = F.when(F.col("d.text").isNotNull(), udfs.repair_mojibake(F.coalesce("d.text", F.lit("")))) if repair else F.col("d.text")
+    rows = decoded.withColumn("html", html)
+    changed = F.coalesce(F.col("html") != F.col("d.text"), F.lit(False))
+    return rows.select("rel", "kind", "domain", "ord", "html", F.col("d.decoder").alias("decoder"), "charset", changed.alias("repaired"), F.coalesce(F.col("html").rlike(MOJIBAKE), F.lit(False)).alias("mojibake"), F.col("d.error").alias("error"))
 
 
 def usable(pages: DataFrame) -> DataFrame:

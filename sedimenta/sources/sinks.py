@@ -1,10 +1,9 @@
-"""Tables, documents and audit rows to files."""
+"""Tables, documents and audit rows to files, on any file system that Spark writes to."""
 
 from __future__ import annotations
 
 import json
 import os
-import shutil
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +15,15 @@ def write_jsonl(rows: DataFrame, path: str, order: str | None = None) -> None:
     (rows.orderBy(order) if order else rows).write.option("ignoreNullFields", "false").mode("overwrite").json(path)
 
 
-def write_parquet(rows: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    writer = rows.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop's file system of path, path as it wants it)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, where = file_system(spark, path)
+    return system.exists(where)
 
 
 def write_concatenated(rows: DataFrame, path: str) -> None:
@@ -28,24 +33,31 @@ def write_concatenated(rows: DataFrame, path: str) -> None:
 
 def write_document(value: dict, path: str) -> None:
     """One JSON document; written beside its place first, so that a reader never sees half of it."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(f"{path}.new", "w", encoding="utf-8") as file:
-        json.dump(value, file, ensure_ascii=False, indent=2)
-    os.replace(f"{path}.new", path)
+    spark = SparkSession.active()
+    system, where = file_system(spark, path)
+    _, new = file_system(spark, f"{path}.new")
+    out = system.create(new, True)
+    out.write(bytearray(json.dumps(value, ensure_ascii=False, indent=2), "utf-8"))
+    out.close()
+    system.delete(where, True)
+    if not system.rename(new, where):
+        raise OSError(f"{path} could not be put in place")
 
 
 def replace_table(rows: DataFrame, path: str) -> None:
-    """A new version of a table that rows may have been read from: written in full beside it, then put in its place."""
-    write_jsonl(rows, f"{path}.new")
-    if os.path.exists(path):
-        os.rename(path, f"{path}.old")
-    os.rename(f"{path}.new", path)
-    shutil.rmtree(f"{path}.old", ignore_errors=True)
+    """A new version of a table that rows may have been read from: written in full beside it, then put in its place.
 
-
-def manifest_entries(rows: DataFrame) -> DataFrame:
-    """Each row as a JSON text with all its fields."""
-    return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("entry"))
+    Between the two renames the table stands as path.old only; what fails there can be put right by hand, nothing is lost.
+    """
+    spark = SparkSession.active()
+    write_jsonl(rows, f"{path}.new")
+    (system, where), (_, new), (_, old) = (file_system(spark, p) for p in (path, f"{path}.new", f"{path}.old"))
+    system.delete(old, True)
+    if system.exists(where) and not system.rename(where, old):
+        raise OSError(f"{path} could not be moved")
+    if not system.rename(new, where):
+        raise OSError(f"{path} could not be put in place")
+    system.delete(old, True)
 
 
 def audit_rows(rows: DataFrame, level: str, stage: str, message, path: str) -> DataFrame:
@@ -58,6 +70,15 @@ def write_audit(rows: DataFrame, folder: str) -> None:
     rows.write.mode("append").partitionBy("level").json(folder)
 
 
+def note(spark: SparkSession, stage: str, message: str, path: str, folder: str) -> None:
+    """One audit row at level INFO: the beginning or the end of a stage."""
+    write_audit(audit_rows(spark.range(1).select(F.lit(path).alias("path")), "INFO", stage, F.lit(message), "path"), folder)
+
+
+def now() -> str:
+    return datetime.now(UTC).isoformat(timespec="seconds")
+
+
 def materialize(entries: DataFrame, files: DataFrame, folder: str) -> None:
     """The bytes of kept files as a table in folders by source, engine and page type."""
     kept = entries.filter("should_materialize_normalized").select("source_key", F.col("original_relative_path").alias("relative"), "engine_family", "page_type_guess", "normalized_relative_path")
