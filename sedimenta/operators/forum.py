@@ -32,6 +32,25 @@ ASP_CRUMB = r'(?is)<a[^>]+class="linkstopo"[^>]+href="FORUM\.asp\?FORUM_ID=(\d+)
 HIDDEN = r'(?is)<input\s+name="([^"]+)"\s+type="hidden"\s+value="([^"]*)">'
 PHPBB_USER = r"(?i)profile\.php\?mode=viewprofile(?:&amp;|&)u=(\d+)"
 PHPBB_FOOTER = r'(?is)<td[^>]*height="40"[^>]*class="genmed"[^>]*>(.*?)</td>'
+PHPBB_CRUMB = r'(?is)<td width="100%" class="nav"><a href="index\.php[^\"]*">.*?</a>\s*&gt;\s*<a href="viewforum\.php\?f=\d+[^\"]*">(.*?)</a>'
+PHPBB_TITLE = r'(?is)<td class="maintitle"[^>]*>(.*?)</td>'
+PHPBB_TOPIC = r"(?i)viewtopic\.php\?t=(\d+)"
+PHPBB_FORUM = r"(?i)viewforum\.php\?f=(\d+)"
+PHPBB_POST = r"(?i)viewtopic\.php\?p=(\d+)"
+QUOTED = r'(?is)<textarea[^>]*name="?(?:Message|message)"?[^>]*>(.*?)</textarea>'
+QUOTE_FORUM = r"Forum_Title_([^_].*?)_M(?:_|\.|$)"
+QUOTE_TOPIC = r"Topic_Title_([^_].*?)_method"
+ASP_SMALL = r"(?is)<small>(.*?)</small>"
+ASP_RULE = r"(?is)<hr[^>]*>\s*(.*)\z"
+ASP_TOP = r'(?is)<a href="#top".*\z'
+ASP_POST = r'(?is)<a name="(\d+)"></a>'
+ASP_USER = r"(?i)pop_profile\.asp\?mode=display&id=(\d+)"
+ASP_POSTED = r"(?is)Enviado em\s*(.*?)</font>"
+PHPBB_POSTED = r"(?is)Enviada:\s*(.*?)</td>"
+PHPBB_DETAILS = r'(?is)<span class="postdetails">(.*?)</span>'
+PHPBB_BODY = r'(?is)<td[^>]*class="postbody"[^>]*>'
+PHPBB_COUNT = r"(?i)Mensagens:\s*(\d+)"
+PHPBB_NAME = r'(?is)<th[^>]*colspan="2"[^>]*>(.*?)</th>'
 GUEST = "Visitante"
 
 POST_COLUMNS = ["post_key", "architecture", "source_page_kind", "topic_key", "topic_id", "user_id", "author_key", "author_display", "role_label", "location_raw", "message_count", "posted", "body_text", "links", "deleted_or_guest", "domain", "rel", "ord", "pos"]
@@ -95,13 +114,12 @@ def asp_topic_pages(pages: DataFrame) -> DataFrame:
 
 def phpbb_topic_pages(pages: DataFrame) -> DataFrame:
     html = F.col("html")
-    title = r'(?is)<td width="100%" class="nav"><a href="index\.php[^\"]*">.*?</a>\s*&gt;\s*<a href="viewforum\.php\?f=\d+[^\"]*">(.*?)</a>'
     shown = pages.filter("kind = 'phpbb_viewtopic'").withColumns(
         {
-            "topic_id": _first(_get(html, r"(?i)viewtopic\.php\?t=(\d+)"), text.first_group(F.col("rel"), r"viewtopic\.php_t_(\d+)")),
-            "forum_id": _get(html, r"(?i)viewforum\.php\?f=(\d+)"),
-            "forum_title": text.html_to_text(_get(html, title)),
-            "topic_title": text.html_to_text(_get(html, r'(?is)<td class="maintitle"[^>]*>(.*?)</td>')),
+            "topic_id": _first(_get(html, PHPBB_TOPIC), text.first_group(F.col("rel"), r"viewtopic\.php_t_(\d+)")),
+            "forum_id": _get(html, PHPBB_FORUM),
+            "forum_title": text.html_to_text(_get(html, PHPBB_CRUMB)),
+            "topic_title": text.html_to_text(_get(html, PHPBB_TITLE)),
         }
     )
     return shown.filter("topic_id <> ''").withColumn("architecture", F.lit("phpbb")).withColumn("topic_key", F.concat(F.lit("phpbb:topic:"), "topic_id"))
@@ -113,16 +131,15 @@ def asp_quote_pages(pages: DataFrame) -> DataFrame:
     pairs = F.transform(F.regexp_extract_all(html, F.lit(HIDDEN), F.lit(0)), lambda m: F.struct(F.upper(_get(m, HIDDEN, 1)).alias("k"), _get(m, HIDDEN, 2).alias("v")))
     field = lambda name: F.coalesce(F.get(F.filter("fields", lambda p: (p["k"] == name) & (p["v"] != "")), 0)["v"], F.lit(""))
     path = lambda pattern: text.first_group(rel, pattern)
-    body = r'(?is)<textarea[^>]*name="?(?:Message|message)"?[^>]*>(.*?)</textarea>'
     shown = pages.filter("kind = 'asp_post'").withColumn("fields", pairs).withColumns(
         {
             "topic_id": _first(path(r"TOPIC_ID_(\d+)"), field("TOPIC_ID")),
             "reply_id": _first(path(r"REPLY_ID_(\d+)"), field("REPLY_ID")),
             "forum_id": _first(path(r"FORUM_ID_(\d+)"), field("FORUM_ID")),
-            "forum_title": _first(text.normalize_whitespace(field("FORUM_TITLE")), url_decode(path(r"Forum_Title_([^_].*?)_M(?:_|\.|$)"))),
-            "topic_title": _first(text.normalize_whitespace(field("TOPIC_TITLE")), url_decode(path(r"Topic_Title_([^_].*?)_method"))),
+            "forum_title": _first(text.normalize_whitespace(field("FORUM_TITLE")), url_decode(path(QUOTE_FORUM))),
+            "topic_title": _first(text.normalize_whitespace(field("TOPIC_TITLE")), url_decode(path(QUOTE_TOPIC))),
             "author_id": field("AUTHOR"),
-            "body_text": text.markup_to_text(_get(html, body)),
+            "body_text": text.markup_to_text(_get(html, QUOTED)),
         }
     )
     return shown.filter("topic_id <> ''").withColumn("architecture", F.lit("asp")).withColumn("topic_key", F.concat(F.lit("asp:topic:"), "topic_id"))
@@ -131,19 +148,18 @@ def asp_quote_pages(pages: DataFrame) -> DataFrame:
 def asp_posts(topic_pages: DataFrame) -> DataFrame:
     rows = _rows(topic_pages, ASP_ROW, 2).withColumnsRenamed({"g1": "author", "g2": "message"})
     author, message = F.col("author"), F.col("message")
-    small = lambda k: text.html_to_text(F.coalesce(F.get(F.regexp_extract_all(author, F.lit(r"(?is)<small>(.*?)</small>"), F.lit(1)), k), F.lit("")))
-    rule = r"(?is)<hr[^>]*>\s*(.*)\z"
-    body = F.regexp_replace(F.when(message.rlike(rule), _get(message, rule)).otherwise(message), r'(?is)<a href="#top".*\z', "")
+    small = lambda k: text.html_to_text(F.coalesce(F.get(F.regexp_extract_all(author, F.lit(ASP_SMALL), F.lit(1)), k), F.lit("")))
+    body = F.regexp_replace(F.when(message.rlike(ASP_RULE), _get(message, ASP_RULE)).otherwise(message), ASP_TOP, "")
     named = r"(?is)<b>(.*?)</a>"
     out = rows.withColumns(
         {
-            "post_id": _get(message, r'(?is)<a name="(\d+)"></a>'),
-            "user_id": _get(author, r"(?i)pop_profile\.asp\?mode=display&id=(\d+)"),
+            "post_id": _get(message, ASP_POST),
+            "user_id": _get(author, ASP_USER),
             "author_display": F.when(author.rlike(named), text.html_to_text(_get(author, named))).otherwise(GUEST),
             "role_label": small(0),
             "location_raw": small(1),
             "message_count": text.first_int(small(2)),
-            "posted": dates.parse_date(_get(message, r"(?is)Enviado em\s*(.*?)</font>")),
+            "posted": dates.parse_date(_get(message, ASP_POSTED)),
             "body_text": text.html_to_text(body),
             "links": text.links(body),
             "source_page_kind": F.lit("topic"),
@@ -154,7 +170,7 @@ def asp_posts(topic_pages: DataFrame) -> DataFrame:
 
 def author_details(cell: Column) -> tuple[Column, Column]:
     """(role, place) of an author's cell: the first line that is neither a number of messages nor a place, and the place."""
-    lines = F.filter(F.transform(F.split(text.html_to_text(_get(cell, r'(?is)<span class="postdetails">(.*?)</span>')), "\n", -1), text.strip), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text.html_to_text(_get(cell, PHPBB_DETAILS)), "\n", -1), text.strip), lambda x: x != "")
     lines = F.filter(lines, lambda x: ~x.rlike(r"(?i)\Amensagens:\s*\d+\s*\z"))
     place = r"(?i)\Alocaliza\S*:\s*(.+)\z"
     role = F.coalesce(F.get(F.filter(lines, lambda x: ~x.rlike(place)), 0), F.lit(""))
@@ -167,16 +183,16 @@ def phpbb_posts(topic_pages: DataFrame) -> DataFrame:
     author, message = F.col("author"), F.col("message")
     role, place = author_details(author)
     named = r"(?is)<strong>(.*?)</strong>"
-    rows = rows.withColumn("body_html", F.regexp_replace(balanced(message, r'(?is)<td[^>]*class="postbody"[^>]*>', "td"), r"(?is)\A\s*<hr\s*/?>", ""))
+    rows = rows.withColumn("body_html", F.regexp_replace(balanced(message, PHPBB_BODY, "td"), r"(?is)\A\s*<hr\s*/?>", ""))
     out = rows.withColumns(
         {
-            "post_id": _first(_get(message, r"(?i)viewtopic\.php\?p=(\d+)"), text.first_group(F.col("rel"), r"viewtopic\.php_p_(\d+)")),
+            "post_id": _first(_get(message, PHPBB_POST), text.first_group(F.col("rel"), r"viewtopic\.php_p_(\d+)")),
             "user_id": _get(F.col("footer"), PHPBB_USER),
             "author_display": F.when(author.rlike(named), text.html_to_text(_get(author, named))).otherwise(GUEST),
             "role_label": role,
             "location_raw": place,
-            "message_count": text.first_int(_get(author, r"(?i)Mensagens:\s*(\d+)")),
-            "posted": dates.parse_date(_get(message, r"(?is)Enviada:\s*(.*?)</td>")),
+            "message_count": text.first_int(_get(author, PHPBB_COUNT)),
+            "posted": dates.parse_date(_get(message, PHPBB_POSTED)),
             "body_text": text.html_to_text(F.col("body_html")),
             "links": text.links(F.col("body_html")),
             "source_page_kind": F.lit("viewtopic"),
@@ -218,7 +234,7 @@ def _user_row(rows: DataFrame, architecture: str, **fields: Column) -> DataFrame
 def asp_profiles(pages: DataFrame, compat: bool = True) -> DataFrame:
     html, rel = F.col("html"), F.col("rel")
     # Labels; the accented ones count only without compat.
-    user, place = ("Usu[a]rio", "(?:Cidade)") if compat else ("Usu(?:[aáÁ]|&aacute;)rio", "(?:Localiza(?:ç|&ccedil;)(?:ã|&atilde;)o|Cidade)")
+    user, place = ("Usuario", "Cidade") if compat else ("Usu(?:[aáÁ]|&aacute;)rio", "(?:Localiza(?:ç|&ccedil;)(?:ã|&atilde;)o|Cidade)")
     names = [
         rf"(?isu){user}:?\s*</font></b></td>\s*<td[^>]*><font[^>]*>(.*?)</font>",
         r'(?is)<td[^>]*valign=top[^>]*align=left[^>]*bgcolor="?618F9E"?[^>]*>\s*<font[^>]*><b>&nbsp;\s*(.*?)\s*</b></font>\s*</td>',
@@ -238,11 +254,11 @@ def phpbb_profiles(pages: DataFrame, compat: bool = True) -> DataFrame:
     since = dates.parse_date(cell("Registrado em"), compat)
     open_ = lambda label: F.lit("") if compat else text.html_to_text(cell(label))
     rows = pages.filter("kind = 'phpbb_profile'").withColumn("user_id", _first(text.first_group(F.col("rel"), r"u_(\d+)"), _get(html, PHPBB_USER)))
-    home = text.html_to_text(cell("P[a]gina/WWW" if compat else "P(?:[aá]|&aacute;)gina/WWW"))
+    home = text.html_to_text(cell("Pagina/WWW" if compat else "P(?:[aá]|&aacute;)gina/WWW"))
     return _user_row(
         rows,
         "phpbb",
-        name=text.html_to_text(_get(html, r'(?is)<th[^>]*colspan="2"[^>]*>(.*?)</th>')),
+        name=text.html_to_text(_get(html, PHPBB_NAME)),
         location=open_("Localiza(?:ç|&ccedil;)(?:ã|&atilde;)o"),
         occupation=open_("Ocupa(?:ç|&ccedil;)(?:ã|&atilde;)o"),
         interests=text.html_to_text(cell("Interesses")),
