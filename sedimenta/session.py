@@ -82,6 +82,18 @@ def cut_all(df):
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(cut._jdf.queryExecution().toRdd(), cut._jdf.schema(), False), spark)
 
 
+#: Bytes of an Arrow batch on its way to a Python worker. Ten thousand texts (Spark's own bound) can be 35 MB, which an executor holds several times over for each task.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """spark, with Arrow batches of BATCH_BYTES at most where the session names no smaller bound; one row is always whole."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+    return spark
+
+
 def share_package(spark: SparkSession) -> SparkSession:
     """Lets Python workers on this machine find the package wherever the driver was started; a cluster gets it by --py-files or an image."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

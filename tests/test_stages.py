@@ -7,6 +7,7 @@ from mini import PAGES
 from pyspark.sql import functions as F
 
 from sedimenta import cli
+from sedimenta.session import BATCH_BYTES, bounded_batches
 from sedimenta.sources import archive, sinks, tables
 
 
@@ -63,3 +64,14 @@ def test_decoded_pages_tell_repair_and_suspicion(spark):
     pages = spark.createDataFrame([("a", "FÃ³rum".encode()), ("b", b"why? no"), ("c", b"plain")], "rel string, content binary").selectExpr("rel", "'k' AS kind", "'d' AS domain", "rel AS ord", "content")
     rows = {r.rel: r for r in archive.decode_pages(pages, repair=True).collect()}
     assert [(rows[k].html, rows[k].repaired, rows[k].mojibake) for k in "abc"] == [("Fórum", True, False), ("why? no", False, True), ("plain", False, False)]
+
+
+def test_batches_are_bounded_unless_a_smaller_bound_is_named(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for named, bound in (("64m", str(BATCH_BYTES)), ("16k", "16k")):
+            spark.conf.set(name, named)
+            assert bounded_batches(spark).conf.get(name) == bound
+    finally:
+        spark.conf.set(name, before)
