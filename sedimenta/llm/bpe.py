@@ -36,7 +36,7 @@ TOKENIZER = "word_bpe_49k.json"
 #: Bytes that the rolling hash sees, bits of it that are clear at a cut (so chunks have about 2**CUT_BITS bytes), bytes of a chunk at least.
 ROLLED, CUT_BITS, LEAST = 16, 9, 64
 #: What a worker keeps of words and of chunks, in bytes.
-WORD_BYTES_KEPT, CHUNK_BYTES_KEPT = 224 << 20, 32 << 20
+WORD_BYTES_KEPT, CHUNK_BYTES_KEPT = 128 << 20, 32 << 20
 
 _HEAD, _UP_TO_TAIL = re.compile(rb"[^ \t\n\x0b\x0c\r]*"), re.compile(rb".*[ \t\n\x0b\x0c\r]", re.S)
 
@@ -189,7 +189,7 @@ class BlockCodec(WordCodec):
 class ChunkCodec(BlockCodec):
     """Encodes texts chunk by chunk, with a bounded cache of chunks; see the module's text."""
 
-    kept_most = WORD_BYTES_KEPT // 2
+    kept_most = 112 << 20
 
     def __init__(self, path: str):
         super().__init__(path)
@@ -395,4 +395,4 @@ def piece_maker(path: str, limit: int, end_id: int):
             columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return run
+    return vectext.frugal(run)

@@ -105,7 +105,7 @@ def _classify(width):
             made = [pa.array([len(s) for s in sets], pa.int64()), pa.array([_set_hash(s) for s in sets], pa.binary()), pa.array([row.tobytes() for row in _signatures(sets)], pa.binary())]
             yield pa.RecordBatch.from_arrays([*part.columns[1:], *made], [*part.schema.names[1:], "n_shingles", "set_hash", "signature"])
 
-    return run
+    return vectext.frugal(run)
 
 
 def _full_sets(width):
@@ -113,7 +113,7 @@ def _full_sets(width):
         for _, sets in _texts(batches, width):
             yield pa.RecordBatch.from_arrays([pa.array([_set_hash(s) for s in sets], pa.binary()), pa.array([memoryview(s).cast("B") for s in sets], pa.binary())], ["set_hash", "shingles"])
 
-    return run
+    return vectext.frugal(run)
 
 
 def _index_keys(batches):

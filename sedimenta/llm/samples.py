@@ -58,4 +58,4 @@ def row_filter(scores: Callable[[pa.Array], np.ndarray], at: int, keep: Callable
                 part = batch.slice(start, stop - start)
                 yield part.filter(pa.array(keep(scores(part.column(at)))))
 
-    return run
+    return vectext.frugal(run)

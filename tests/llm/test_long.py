@@ -38,6 +38,31 @@ def test_memory_of_a_text_of_64_mib(op):
     assert int(done.stdout) < 700
 
 
+KEPT = """
+import numpy as np, pyarrow as pa
+from sedimenta.llm import near_dup
+
+def held():
+    return int(open("/proc/self/statm").read().split()[1]) * 4096 >> 20
+
+def batches():
+    for k in range(6):
+        yield pa.RecordBatch.from_arrays([pa.array([f"w{k} " + " ".join(f"x{(i * 7 + j) % 9973}" for j in range(600)) for i in range(5000)])], ["text"])
+
+next(near_dup._classify(5)(batches()))
+before = held()
+assert sum(len(b) for b in near_dup._classify(5)(batches())) == 30_000
+print(held() - before)
+"""
+
+
+def test_a_worker_gives_memory_back_when_a_task_is_done():
+    """After 90 MB of texts a worker that waits holds little more than before."""
+    done = subprocess.run([sys.executable, "-c", KEPT], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout) < 40
+
+
 def test_windows_of_one_sequence_give_the_whole_result():
     import numpy as np
 
