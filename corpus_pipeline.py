@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm import exact_dedup, near_dup, packing, quality, toxicity
-from sedimenta.session import ensure_checkpoint_dir, remove, scratch
+from sedimenta.session import bounded_batches, ensure_checkpoint_dir, remove, scratch
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,11 +26,13 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that are rather good than bad."""
+    bounded_batches(spark)
     return quality.keep_good(docs, quality.train_model(docs, _labels(spark, sf_dir)), threshold=0.5)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that are not surely toxic."""
+    bounded_batches(spark)
     return toxicity.drop_toxic(docs, toxicity.train_model(docs, _labels(spark, sf_dir)), threshold=0.7)
 
 
@@ -54,12 +56,14 @@ def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps, of documents that shingles of five words link, the one with the smallest doc_id; documents without an id stay."""
+    bounded_batches(spark)
     found = near_dup.near_duplicates(_keyed(docs), width=5, percent=80, carry=_KEY)
     return exact_dedup.without(docs, found.filter("not kept and doc_id is not null").select(_KEY), *_keys())
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences of at most 4096 tokens."""
+    bounded_batches(spark)
     return packing.pack(docs)
 
 
