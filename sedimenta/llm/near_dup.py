@@ -13,7 +13,8 @@ smallest one, its hub (a star, linear in the bucket); the confirmed links give c
 need no further comparison. What is left is, around each hub with members in several components, whether a member
 outside the hub's component (a query) is near a member of another component. Queries meet the hub's members in a grid
 of blocks: a first pass over signatures keeps the rows that have someone within DISTANCE in another component, a second
-one compares full sets and gives only the confirmed links. So the components are those of all links within DISTANCE.
+one compares full sets and gives, of the confirmed links between components, a forest: fewer than the block has
+components, however many pairs of members are near. So the components are those of all links within DISTANCE.
 A block has the square root of BLOCK times the hub's members on a side, so the rows that are moved for a hub grow as
 the power 1.5 of its unlinked members, not as their square (the comparisons do, within tasks that are spread), and a
 block's rows as their square root.
@@ -212,24 +213,30 @@ def _has_near(percent):
 
 
 def _links_within(percent):
-    """The confirmed links (a, b) of a block whose rows have their shingles too."""
+    """The links (a, b) between components that join those of a block, whose rows have their shingles too.
+
+    A forest: each component that is joined with others has one link, with the smallest of them, however many of their
+    members are near each other. Members that are joined by then need no further comparison.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         vectext.release()
         queries, members, component, size = _sides(table)
-        signatures, cls = _signatures_of(table), np.asarray(table["cls"].combine_chunks())
+        signatures = _signatures_of(table)
         shingles = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
-        a, b = [], []
+        names, at = np.unique(component, return_inverse=True)
+        root = np.arange(len(names))
         for q in queries:
-            found = _candidates(q, members, component, size, signatures, percent)
-            if not len(found):
-                continue
-            sizes = np.array([len(shingles[m]) for m in found])
-            both = _overlaps(shingles[q], [shingles[m] for m in found])
-            for m in found[100 * both >= percent * (sizes + len(shingles[q]) - both)]:
-                a.append(min(cls[q], cls[m]))
-                b.append(max(cls[q], cls[m]))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            found = _candidates(q, members, root[at], size, signatures, percent)
+            while len(found):
+                some, found = found[:STAR], found[STAR:]
+                both = _overlaps(shingles[q], [shingles[m] for m in some])
+                linked = some[100 * both >= percent * (np.array([len(shingles[m]) for m in some]) + len(shingles[q]) - both)]
+                met = np.unique(root[at[np.append(linked, q)]])
+                root[np.isin(root, met)] = met[0]
+                found = found[root[at[found]] != met[0]]
+        joined = np.flatnonzero(root != np.arange(len(names)))
+        return pa.table({"a": pa.array(names[root[joined]], pa.int64()), "b": pa.array(names[joined], pa.int64())})
 
     return run
 
@@ -289,7 +296,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         whole = near.join(_sets(near.select("cls").distinct(), classes, texts, width), "cls").select(*columns, "signature", "shingles")
         second = cut_lineage(whole.groupBy("hub", "qb", "mb").applyInArrow(_links_within(percent), "a long, b long").distinct())
         if not second.isEmpty():
-            found = components(first.union(second))
+            found = _joined(found, components(second))
 
     linked = found.withColumnRenamed("node", "cls").join(classes.select("cls", "rep"), "cls")
     lowest = linked.join(linked.groupBy("component").agg(F.min("rep").alias("lowest")), "component").select("cls", "lowest")
@@ -300,6 +307,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"), *carry)
 
 
+def _joined(found: DataFrame, tops: DataFrame) -> DataFrame:
+    """(node, component) of found with its components in those of tops, whose nodes are components of found or nodes that it has not."""
+    tops = tops.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    nodes = found.union(tops.select("component", F.col("component").alias("itself"))).distinct()
+    return cut_lineage(nodes.join(tops, "component", "left").select("node", F.coalesce("top", "component").alias("component")))
+
+
 def _sets(wanted: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """(cls, shingles) of the classes that are wanted, from texts of the ids that stand for them."""
     reps = cut_lineage(wanted.join(classes.select("cls", "rep", "set_hash"), "cls"))

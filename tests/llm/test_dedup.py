@@ -179,6 +179,28 @@ def test_rows_moved_around_a_hub(spark, monkeypatch):
     assert moved[200] > 0 and moved[800] < 10 * moved[200]  # the square would be 16 times
 
 
+@pytest.mark.parametrize("width,edits", [(5, 2)])
+def test_links_between_components_of_one_group(spark, monkeypatch, width, edits):
+    """Near copies with edits of their own, of which stars leave several components: fewer links than members join these."""
+    made, whole, n = [], near_dup.components, 240
+
+    def counting(links):
+        made.append(links.count())
+        return whole(links)
+
+    monkeypatch.setattr(near_dup, "components", counting)
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(n):
+        words = [f"w{k}" for k in range(240)]
+        for p in rng.choice(240, edits + i % 2, replace=False):
+            words[p] = f"x{i}y{p}"
+        rows.append((i, " ".join(words)))
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=width).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(rows, width, 80)[0]
+    assert len(made) == 2 and 0 < made[1] < n
+
+
 def test_op7_query(spark, sf, sample):
     expected, sizes = brute_components(sample, 2, 80)
     rows = queries.op7_minhash_near_dup(spark, sf).collect()
