@@ -179,7 +179,7 @@ def test_rows_moved_around_a_hub(spark, monkeypatch):
     assert moved[200] > 0 and moved[800] < 10 * moved[200]  # the square would be 16 times
 
 
-@pytest.mark.parametrize("width,edits", [(5, 2)])
+@pytest.mark.parametrize("width,edits", [(5, 2), (2, 6)])
 def test_links_between_components_of_one_group(spark, monkeypatch, width, edits):
     """Near copies with edits of their own, of which stars leave several components: fewer links than members join these."""
     made, whole, n = [], near_dup.components, 240
