@@ -51,9 +51,10 @@ def strip_markup(value: Column) -> Column:
     return value
 
 
-def html_to_text(value: Column) -> Column:
-    """The text of a piece of HTML; tags go before references are decoded."""
-    return normalize_whitespace(strip_markup(value))
+def html_to_text(value: Column, closed: bool = False) -> Column:
+    """The text of a piece of HTML; tags go before references are decoded. With closed, only references that end in a semicolon are."""
+    plain = strip_markup(value)
+    return squeeze(udfs.unescape_closed(plain)) if closed else normalize_whitespace(plain)
 
 
 def _references(value: Column, *pairs: tuple[str, str]) -> Column:

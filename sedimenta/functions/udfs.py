@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
+from html.entities import html5
 from urllib.parse import unquote as _unquote
 from urllib.parse import unquote_to_bytes
 
@@ -21,6 +23,16 @@ def _each(function):
 
 unescape = F.pandas_udf(_each(lambda t: html.unescape(t) if "&" in t else t), T.StringType())
 unescape_all = F.pandas_udf(_each(lambda a: [html.unescape(t) if "&" in t else t for t in a]), T.ArrayType(T.StringType()))
+_CLOSED = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[0-9A-Za-z]+);")
+
+
+def _closed(match: re.Match) -> str:
+    name = match[0][1:]
+    return html.unescape(match[0]) if name[0] == "#" or name in html5 else match[0]
+
+
+#: As unescape, but a reference has to end in a semicolon; a name that was cut off, '&amp' without one, stays.
+unescape_closed = F.pandas_udf(_each(lambda t: _CLOSED.sub(_closed, t) if "&" in t else t), T.StringType())
 unquote = F.pandas_udf(_each(_unquote), T.StringType())
 unquote_all = F.pandas_udf(_each(lambda a: [_unquote(t) for t in a]), T.ArrayType(T.StringType()))
 casefold = F.pandas_udf(_each(str.casefold), T.StringType())
