@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sedimenta.functions import text
+from sedimenta.functions.once import let
 
 # Extensions by nature.
 PAGE_EXTENSIONS = [".asp", ".php", ".aspx", ".jsp", ".cfm", ".cgi", ".pl"]
@@ -39,7 +40,10 @@ def extension(name: Column) -> Column:
 
 def page_kind(relative: Column) -> Column:
     """The parser that a normalised path goes to; 'skip' for none."""
-    path = F.lower(F.translate(relative, "\\", "/"))
+    return let(F.lower(F.translate(relative, "\\", "/")), _kind_of)
+
+
+def _kind_of(path: Column) -> Column:
     has = lambda part: F.contains(path, F.lit(part))
     profile = has("/page/profile/")
     return (

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sedimenta.functions import text
+from sedimenta.functions.once import let
 
 # Month names and their numbers.
 MONTHS = {
@@ -38,22 +39,31 @@ def parse_date(raw: Column, compat: bool = True, decode: bool = True) -> Column:
     clean = text.normalize_whitespace(raw) if decode else text.squeeze(raw)
     letters = "a-z" if compat else "a-zç"
 
-    def built(clean: Column) -> Column:
-        numeric = r"(\d{1,2})/(\d{1,2})/(\d{4})(?:\D+(\d{1,2}):(\d{2})(?::(\d{2}))?)?"
-        a = [F.regexp_extract(clean, numeric, k) for k in range(1, 7)]
-        zero = [F.when(x == "", "0").otherwise(x) for x in a[3:]]
-        one = F.when(a[2] != "", _iso(a[2], a[1], a[0], *zero))
-        english = rf"(?i)(jan|fev|mar|abr|mai|jun|jul|ago|set|out|nov|dez)[{letters}]*\s+(\d{{1,2}}),\s+(\d{{4}})\s+(\d{{1,2}}):(\d{{2}})\s*(am|pm)"
-        b = [F.regexp_extract(clean, english, k) for k in range(1, 7)]
-        hour, half = b[3].try_cast("int"), F.lower(b[5])
-        hour = F.when((half == "pm") & (hour < 12), hour + 12).when((half == "am") & (hour == 12), 0).otherwise(hour)
-        two = F.when(b[0] != "", _iso(b[2], _number(b[0], compat), b[1], hour, b[4], F.lit("0")))
-        long = rf"(?i)(\d{{1,2}})\s+de\s+([{letters}]+)\s+de\s+(\d{{4}})"
-        c = [F.regexp_extract(clean, long, k) for k in range(1, 4)]
+    def groups(value: Column, pattern: str, count: int) -> Column:
+        return F.array(*(F.regexp_extract(value, pattern, k) for k in range(1, count + 1)))
+
+    def numeric(a: Column) -> Column:
+        return F.when(a[2] != "", _iso(a[2], a[1], a[0], *(F.when(a[k] == "", "0").otherwise(a[k]) for k in range(3, 6))))
+
+    def english(b: Column) -> Column:
+        half = F.lower(b[5])
+        hour = let(b[3].try_cast("int"), lambda h: F.when((half == "pm") & (h < 12), h + 12).when((half == "am") & (h == 12), 0).otherwise(h))
+        return _iso(b[2], _number(b[0], compat), b[1], hour, b[4], F.lit("0"))
+
+    def long(c: Column) -> Column:
         zero = F.lit("0")
-        three = F.when(c[0] != "", _iso(c[2], _number(c[1], compat), c[0], zero, zero, zero))
-        # The first pattern that matches decides, even where it gives no date.
-        iso = F.when(one.isNotNull(), one).when(b[0] != "", two).otherwise(three)
+        return F.when(c[0] != "", _iso(c[2], _number(c[1], compat), c[0], zero, zero, zero))
+
+    first = r"(\d{1,2})/(\d{1,2})/(\d{4})(?:\D+(\d{1,2}):(\d{2})(?::(\d{2}))?)?"
+    second = rf"(?i)(jan|fev|mar|abr|mai|jun|jul|ago|set|out|nov|dez)[{letters}]*\s+(\d{{1,2}}),\s+(\d{{4}})\s+(\d{{1,2}}):(\d{{2}})\s*(am|pm)"
+    third = rf"(?i)(\d{{1,2}})\s+de\s+([{letters}]+)\s+de\s+(\d{{4}})"
+
+    # The first pattern that matches decides, even where it gives no date.
+    def worded(clean: Column) -> Column:
+        return let(groups(clean, second, 6), lambda b: F.when(b[0] != "", english(b)).otherwise(let(groups(clean, third, 3), long)))
+
+    def built(clean: Column) -> Column:
+        iso = let(let(groups(clean, first, 6), numeric), lambda one: F.when(one.isNotNull(), one).otherwise(worded(clean)))
         return F.struct(F.when(clean != "", clean).alias("raw"), iso.alias("iso"))
 
-    return built(clean)
+    return let(clean, built)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions import classify, dates, text, udfs
+from sedimenta.functions.once import let, once
 
 # The patterns of rows and fields of the two kinds of forum.
 ASP_ROW = r'(?is)<tr>\s*<td\b[^>]*bgcolor="?(?:F8F8F8|white)"?[^>]*>(.*?)</td>\s*<td\b[^>]*colspan="2"[^>]*>(.*?)</td>\s*</tr>'
@@ -74,22 +75,38 @@ def url_decode(value: Column) -> Column:
 def _rows(pages: DataFrame, pattern: str, groups: int) -> DataFrame:
     """pages without html and with pos and g1, g2 ... of each match."""
     rows = pages.select(*(c for c in pages.columns if c != "html"), F.posexplode(F.regexp_extract_all("html", F.lit(pattern), F.lit(0))).alias("pos", "row"))
-    return rows.select(*(c for c in rows.columns if c != "row"), *(_get(F.col("row"), pattern, k).alias(f"g{k}") for k in range(1, groups + 1)))
+    rows = once(rows, {"g": _groups(F.col("row"), pattern, groups)})
+    return rows.select(*(c for c in rows.columns if c not in ("row", "g")), *(F.get("g", k - 1).alias(f"g{k}") for k in range(1, groups + 1)))
+
+
+def _groups(row: Column, pattern: str, count: int) -> Column:
+    """The groups of a row, which is one match of pattern. It is matched once for all of them where no character of the text can be taken for the mark between them."""
+    marked = F.split(F.regexp_replace(row, pattern, "\x01".join(f"${k}" for k in range(1, count + 1))), "\x01", -1)
+    return F.when(F.contains(row, F.lit("\x01")), F.array(*(_get(row, pattern, k) for k in range(1, count + 1)))).otherwise(marked)
 
 
 def balanced(html: Column, start: str, tag: str) -> Column:
     """What stands between the first match of start, which opens tag, and the end tag that closes it; empty if none does."""
     token = rf"(?is)</?{tag}\b[^>]*>"
-    rest = F.get(F.split(html, start, 2), 1)
-    begin = F.struct(F.lit(1).alias("depth"), F.lit("").alias("out"))
+    begin = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("seen"))
+
+    def step(acc: Column, t: Column) -> Column:
+        """Depth and number of tags, up to the one that closes."""
+        depth = F.when(acc["depth"] == 0, 0).when(t.startswith("</"), acc["depth"] - 1).otherwise(acc["depth"] + 1)
+        return F.struct(depth.alias("depth"), (acc["seen"] + F.when(acc["depth"] == 0, 0).otherwise(1)).alias("seen"))
+
+    def until(x: Column, end: Column) -> Column:
+        before = F.zip_with(F.slice(x["parts"], 1, end - 1), F.slice(x["tokens"], 1, end - 1), lambda p, t: F.concat(p, t))
+        return F.concat(F.array_join(before, ""), F.get(x["parts"], end - 1))
 
-    def step(acc: Column, x: Column) -> Column:
-        depth = F.when(acc["depth"] == 0, 0).when(x["t"].startswith("</"), acc["depth"] - 1).otherwise(acc["depth"] + 1)
-        grown = F.when(acc["depth"] == 0, acc["out"]).otherwise(F.concat(acc["out"], x["p"], F.when(depth == 0, "").otherwise(x["t"])))
-        return F.struct(depth.alias("depth"), grown.alias("out"))
+    def inner(x: Column) -> Column:
+        # Null where nothing closes.
+        closing = F.aggregate(x["tokens"], begin, step, lambda acc: F.when(acc["depth"] == 0, acc["seen"]))
+        return let(closing, lambda end: F.when(end.isNotNull(), until(x, end)))
 
-    tokens = F.transform(F.regexp_extract_all(rest, F.lit(token), F.lit(0)), lambda t, i: F.struct(t.alias("t"), F.get(F.split(rest, token, -1), i).alias("p")))
-    return F.coalesce(F.aggregate(tokens, begin, step, lambda acc: F.when(acc["depth"] == 0, acc["out"]).otherwise("")), F.lit(""))
+    # Tags and what stands between them are taken once, not for each tag.
+    cut = lambda rest: F.struct(F.regexp_extract_all(rest, F.lit(token), F.lit(0)).alias("tokens"), F.split(rest, token, -1).alias("parts"))
+    return F.coalesce(let(let(F.get(F.split(html, start, 2), 1), cut), inner), F.lit(""))
 
 
 # ---- topics and posts
@@ -101,28 +118,27 @@ def asp_topic_pages(pages: DataFrame) -> DataFrame:
     reply = lambda k: _get(html, ASP_REPLY, k)
     crumb = lambda k: _get(html, ASP_CRUMB, k)
     line = lambda v: text.normalize_whitespace(text.html_to_text(v))
-    shown = pages.filter("kind = 'asp_topic'").withColumns(
+    shown = once(pages.filter("kind = 'asp_topic'"), {"topic_id": _first(text.first_group(rel, r"TOPIC_ID_(\d+)"), reply(1))}).filter("topic_id <> ''").withColumns(
         {
-            "topic_id": _first(text.first_group(rel, r"TOPIC_ID_(\d+)"), reply(1)),
             "forum_id": _first(text.first_group(rel, r"FORUM_ID_(\d+)"), reply(2), crumb(1)),
             "forum_title": _first(url_decode(reply(4)), line(crumb(2))),
             "topic_title": _first(url_decode(reply(5)), line(crumb(3))),
         }
     )
-    return shown.filter("topic_id <> ''").withColumn("architecture", F.lit("asp")).withColumn("topic_key", F.concat(F.lit("asp:topic:"), "topic_id"))
+    return shown.withColumn("architecture", F.lit("asp")).withColumn("topic_key", F.concat(F.lit("asp:topic:"), "topic_id"))
 
 
 def phpbb_topic_pages(pages: DataFrame) -> DataFrame:
     html = F.col("html")
-    shown = pages.filter("kind = 'phpbb_viewtopic'").withColumns(
+    shown = once(pages.filter("kind = 'phpbb_viewtopic'"), {"topic_id": _first(_get(html, PHPBB_TOPIC), text.first_group(F.col("rel"), r"viewtopic\.php_t_(\d+)"))})
+    shown = shown.filter("topic_id <> ''").withColumns(
         {
-            "topic_id": _first(_get(html, PHPBB_TOPIC), text.first_group(F.col("rel"), r"viewtopic\.php_t_(\d+)")),
             "forum_id": _get(html, PHPBB_FORUM),
             "forum_title": text.html_to_text(_get(html, PHPBB_CRUMB)),
             "topic_title": text.html_to_text(_get(html, PHPBB_TITLE)),
         }
     )
-    return shown.filter("topic_id <> ''").withColumn("architecture", F.lit("phpbb")).withColumn("topic_key", F.concat(F.lit("phpbb:topic:"), "topic_id"))
+    return shown.withColumn("architecture", F.lit("phpbb")).withColumn("topic_key", F.concat(F.lit("phpbb:topic:"), "topic_id"))
 
 
 def asp_quote_pages(pages: DataFrame) -> DataFrame:
@@ -131,18 +147,18 @@ def asp_quote_pages(pages: DataFrame) -> DataFrame:
     pairs = F.transform(F.regexp_extract_all(html, F.lit(HIDDEN), F.lit(0)), lambda m: F.struct(F.upper(_get(m, HIDDEN, 1)).alias("k"), _get(m, HIDDEN, 2).alias("v")))
     field = lambda name: F.coalesce(F.get(F.filter("fields", lambda p: (p["k"] == name) & (p["v"] != "")), 0)["v"], F.lit(""))
     path = lambda pattern: text.first_group(rel, pattern)
-    shown = pages.filter("kind = 'asp_post'").withColumn("fields", pairs).withColumns(
+    shown = once(pages.filter("kind = 'asp_post'"), {"fields": pairs, "quoted": _get(html, QUOTED)})
+    shown = once(shown, {"topic_id": _first(path(r"TOPIC_ID_(\d+)"), field("TOPIC_ID"))}).filter("topic_id <> ''").withColumns(
         {
-            "topic_id": _first(path(r"TOPIC_ID_(\d+)"), field("TOPIC_ID")),
             "reply_id": _first(path(r"REPLY_ID_(\d+)"), field("REPLY_ID")),
             "forum_id": _first(path(r"FORUM_ID_(\d+)"), field("FORUM_ID")),
             "forum_title": _first(text.normalize_whitespace(field("FORUM_TITLE")), url_decode(path(QUOTE_FORUM))),
             "topic_title": _first(text.normalize_whitespace(field("TOPIC_TITLE")), url_decode(path(QUOTE_TOPIC))),
             "author_id": field("AUTHOR"),
-            "body_text": text.markup_to_text(_get(html, QUOTED)),
+            "body_text": text.markup_to_text(F.col("quoted")),
         }
     )
-    return shown.filter("topic_id <> ''").withColumn("architecture", F.lit("asp")).withColumn("topic_key", F.concat(F.lit("asp:topic:"), "topic_id"))
+    return shown.drop("quoted").withColumn("architecture", F.lit("asp")).withColumn("topic_key", F.concat(F.lit("asp:topic:"), "topic_id"))
 
 
 def asp_posts(topic_pages: DataFrame) -> DataFrame:
@@ -151,17 +167,16 @@ def asp_posts(topic_pages: DataFrame) -> DataFrame:
     small = lambda k: text.html_to_text(F.coalesce(F.get(F.regexp_extract_all(author, F.lit(ASP_SMALL), F.lit(1)), k), F.lit("")))
     body = F.regexp_replace(F.when(message.rlike(ASP_RULE), _get(message, ASP_RULE)).otherwise(message), ASP_TOP, "")
     named = r"(?is)<b>(.*?)</a>"
+    rows = once(rows, {"post_id": _get(message, ASP_POST), "user_id": _get(author, ASP_USER)}).filter("post_id <> ''")
+    rows = _with_text(once(rows, {"body": body}), F.col("body"))
     out = rows.withColumns(
         {
-            "post_id": _get(message, ASP_POST),
-            "user_id": _get(author, ASP_USER),
             "author_display": F.when(author.rlike(named), text.html_to_text(_get(author, named))).otherwise(GUEST),
             "role_label": small(0),
             "location_raw": small(1),
             "message_count": text.first_int(small(2)),
             "posted": dates.parse_date(_get(message, ASP_POSTED)),
-            "body_text": text.html_to_text(body),
-            "links": text.links(body),
+            "links": text.links(F.col("body")),
             "source_page_kind": F.lit("topic"),
         }
     )
@@ -183,17 +198,15 @@ def phpbb_posts(topic_pages: DataFrame) -> DataFrame:
     author, message = F.col("author"), F.col("message")
     role, place = author_details(author)
     named = r"(?is)<strong>(.*?)</strong>"
-    rows = rows.withColumn("body_html", F.regexp_replace(balanced(message, PHPBB_BODY, "td"), r"(?is)\A\s*<hr\s*/?>", ""))
-    out = rows.withColumns(
+    rows = once(rows, {"post_id": _first(_get(message, PHPBB_POST), text.first_group(F.col("rel"), r"viewtopic\.php_p_(\d+)")), "user_id": _get(F.col("footer"), PHPBB_USER)})
+    rows = once(rows.filter("post_id <> ''"), {"body_html": F.regexp_replace(balanced(message, PHPBB_BODY, "td"), r"(?is)\A\s*<hr\s*/?>", "")})
+    out = _with_text(rows, F.col("body_html")).withColumns(
         {
-            "post_id": _first(_get(message, PHPBB_POST), text.first_group(F.col("rel"), r"viewtopic\.php_p_(\d+)")),
-            "user_id": _get(F.col("footer"), PHPBB_USER),
             "author_display": F.when(author.rlike(named), text.html_to_text(_get(author, named))).otherwise(GUEST),
             "role_label": role,
             "location_raw": place,
             "message_count": text.first_int(_get(author, PHPBB_COUNT)),
             "posted": dates.parse_date(_get(message, PHPBB_POSTED)),
-            "body_text": text.html_to_text(F.col("body_html")),
             "links": text.links(F.col("body_html")),
             "source_page_kind": F.lit("viewtopic"),
         }
@@ -201,11 +214,16 @@ def phpbb_posts(topic_pages: DataFrame) -> DataFrame:
     return _finished(out, "phpbb").withColumn("deleted_or_guest", classify.is_guest(F.col("user_id"), F.col("author_display"))).select(POST_COLUMNS)
 
 
+def _with_text(rows: DataFrame, body: Column) -> DataFrame:
+    """Rows that have a text, with body_text. It is read by the filter and by what follows, and made once."""
+    plain = once(rows, {"plain": text.strip_markup(body)}).withColumn("plain", text.unescape(F.col("plain")))
+    return once(plain, {"body_text": text.squeeze(F.col("plain"))}).drop("plain").filter("body_text <> ''")
+
+
 def _finished(rows: DataFrame, architecture: str) -> DataFrame:
-    """Rows with an id and a text, and their keys."""
-    kept = rows.filter("post_id <> '' and body_text <> ''")
+    """Rows with their keys."""
     key = lambda kind, column: F.concat(F.lit(f"{architecture}:{kind}:"), column)
-    return kept.withColumn("post_key", key("post", "post_id")).withColumn("author_key", F.when(F.col("user_id") != "", key("user", "user_id")))
+    return rows.withColumn("post_key", key("post", "post_id")).withColumn("author_key", F.when(F.col("user_id") != "", key("user", "user_id")))
 
 
 def phpbb_footers(pages: DataFrame) -> DataFrame:
@@ -214,8 +232,9 @@ def phpbb_footers(pages: DataFrame) -> DataFrame:
     last = F.element_at(F.concat(F.array(F.lit("")), F.regexp_extract_all("g2", F.lit(PHPBB_FOOTER), F.lit(1))), -1)
     value = text.strip(F.regexp_replace(text.html_to_text_basic(last), rf"(?U)\A_+{text.SPACE}*", ""))
     value = text.strip(F.regexp_replace(value, r"(?is)editado pela.*\z", ""))
-    out = rows.select(F.concat(F.lit("phpbb:user:"), F.nullif(_get(F.col("g3"), PHPBB_USER), F.lit(""))).alias("user_key"), value.alias("signature"))
-    return out.filter((F.length("signature") >= 6) & F.col("user_key").isNotNull())
+    known = once(rows, {"user_id": _get(F.col("g3"), PHPBB_USER)}).filter("user_id <> ''")
+    out = once(known.select(F.concat(F.lit("phpbb:user:"), "user_id").alias("user_key"), "g2"), {"signature": value}).select("user_key", "signature")
+    return out.filter(F.length("signature") >= 6)
 
 
 # ---- users
@@ -227,7 +246,7 @@ def _user_row(rows: DataFrame, architecture: str, **fields: Column) -> DataFrame
     filled |= {"post_count": F.lit(0).cast("long"), "is_profile": F.lit(False), "emails": F.array().cast("array<string>"), "pos": F.lit(0)} | fields
     if "pos" in rows.columns:
         filled["pos"] = F.col("pos")
-    out = rows.withColumns(filled).filter("user_id <> ''")
+    out = once(rows, {"user_id": F.col("user_id")}).filter("user_id <> ''").withColumns(filled)
     return out.withColumn("architecture", F.lit(architecture)).withColumn("user_key", F.concat(F.lit(f"{architecture}:user:"), "user_id")).select(USER_COLUMNS)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions import text
 from sedimenta.operators.components import components
+from sedimenta.session import cut_lineage
 
 CONFIDENCE = "high_exact_alias_cross_architecture"
 
@@ -37,7 +38,7 @@ def merged_identities(users: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     An identity has at least two users and two platforms; users of one platform who share its names belong to it too.
     """
-    index = alias_index(users)
+    index = cut_lineage(alias_index(users))
     roots = merged_keys(index)
     # At most the users of one identity are listed.
     members = roots.join(users.select("user_key", "architecture", "primary_display_name"), "user_key")

@@ -8,6 +8,7 @@ from functools import reduce as reduce_columns
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.functions.once import once
 from sedimenta.session import cut_lineage
 
 
@@ -42,8 +43,11 @@ def with_date_bounds(rows: DataFrame, key: str, iso: str, raw: str, order: str)
 def _ranged(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """rows in ranges of (key, order), numbered in _range: a key with very many rows is in several, one after another.
 
-    Written, so that a row keeps its range.
+    Written, so that a row keeps its range. Ranges are found by reading all rows first; dealt before, both times they are read
+    from a shuffle and not made twice (the generator keeps Catalyst from dropping the first of two shuffles).
     """
+    spark = rows.sparkSession
+    rows = once(rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)), {key[0]: F.col(key[0])})
     return cut_lineage(rows.repartitionByRange(*key, *order).withColumn("_range", F.spark_partition_id()))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions import classify, text
+from sedimenta.functions.once import once
 from sedimenta.operators import forum, identity, knowledge
 from sedimenta.operators.reduce import first_filled, first_wins, last_filled, with_date_bounds, with_running_last
 from sedimenta.session import cut_lineage
@@ -114,6 +115,8 @@ def warehouse_users(seen: DataFrame, compat: bool = True) -> tuple[DataFrame, Da
     )
     timed = clean.select("user_key", "at", F.col("observed.iso").alias("iso"), F.col("observed.raw").alias("raw"))
     users = users.join(with_date_bounds(timed, "user_key", "iso", "raw", "at"), "user_key", "left")
+    # Written once: identities read users several times, and each time pages would be parsed anew.
+    users = cut_lineage(users)
     identities, merged = identity.merged_identities(users.select("user_key", "architecture", F.col("aliases").alias("names"), "primary_display_name"))
     listed = lambda c, name: text.sort_values(F.col(c)).alias(name)
     out = users.join(merged, "user_key", "left").select(
@@ -126,13 +129,14 @@ def warehouse_users(seen: DataFrame, compat: bool = True) -> tuple[DataFrame, Da
 
 def salvage(quotes: DataFrame, running: DataFrame, posts: DataFrame, users: DataFrame) -> DataFrame:
     """Quoted texts that are not the text of the post that they quote; authors get the name that is known of them."""
-    rows = quotes.filter("body_text <> ''").join(running, "rel", "left")
+    rows = once(quotes.drop("html", "fields"), {"body_text": F.col("body_text")}).filter("body_text <> ''").join(running, "rel", "left")
     rows = rows.withColumn("salvage_key", F.concat(F.lit("salvage:"), F.sha1(F.encode(F.concat_ws("|", "rel", "body_text"), "UTF-8"))))
-    rows = first_wins(rows.drop("html", "fields"), "salvage_key", ["ord"])
+    rows = first_wins(rows, "salvage_key", ["ord"])
     rows = rows.withColumn("candidate_post_key", F.when(F.col("reply_id") != "", F.concat(F.lit("asp:post:"), "reply_id"))).withColumn("author_key", F.when(F.col("author_id") != "", F.concat(F.lit("asp:user:"), "author_id")))
     rows = rows.withColumn("compared", text.normalize_whitespace(F.col("body_text")))
     # Post bodies are normalised when registered, and once more when compared.
-    known = posts.select(F.col("post_key").alias("candidate_post_key"), text.normalize_whitespace(text.normalize_whitespace(F.col("body_text"))).alias("compared")).filter("compared <> ''")
+    known = posts.select(F.col("post_key").alias("candidate_post_key"), text.normalize_whitespace(text.normalize_whitespace(F.col("body_text"))).alias("compared"))
+    known = once(known, {"compared": F.col("compared")}).filter("compared <> ''")
     rows = rows.join(known, ["candidate_post_key", "compared"], "left_anti")
     rows = rows.join(users.select(F.col("user_key").alias("author_key"), F.col("primary_display_name").alias("author_display")), "author_key", "left")
     return rows.select(

@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions import classify, text
+from sedimenta.functions.once import once
 from sedimenta.functions.ordering import walk_order
 from sedimenta.operators import enrich, forum, inventory, knowledge
 from sedimenta.plans import build
 from sedimenta.plans.queries import _t, query
-from sedimenta.session import ensure_checkpoint_dir
+from sedimenta.session import cut_lineage, ensure_checkpoint_dir
 from sedimenta.sources import archive, sinks, tables
 
 ROWS, POSTS = 20, 10
@@ -24,11 +25,17 @@ ROWS, POSTS = 20, 10
 
 def _pages(rows: DataFrame, rel: Column, html: Column) -> DataFrame:
     """rows as pages for the parsers, of the kind that their path tells."""
-    pages = rows.select(rel.alias("rel"), html.alias("html"))
+    pages = once(rows, {"rel": rel, "html": html})
     kind = classify.page_kind(F.concat(F.lit("/"), "rel"))
     return pages.select("rel", kind.alias("kind"), F.split("rel", "/")[0].alias("domain"), walk_order(F.col("rel")).alias("ord"), "html")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """rows dealt to all cores: tables are narrow and read in few tasks, and what is made of their rows is not cheap."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def _listed(rows: DataFrame, key: str, row: Column, rel: str) -> DataFrame:
     """Pages of at most ROWS rows each, in the order of key."""
     page = F.floor(F.col(key) / ROWS).alias("page")
@@ -60,7 +67,7 @@ def _asp_profile_pages(spark, sf_dir):
         _day("c_custkey"), "c_mktsegment", "c_custkey", "c_custkey", "c_custkey",
     )
     told = F.when(key % 2 == 0, F.format_string("s/asp/page/profile/pop_profile.asp_mode_display_id_%d.html", key)).otherwise(F.format_string("s/asp/page/profile/perfil-%d.html", key))
-    return _pages(_t(spark, sf_dir, "customer"), told, F.concat(heading, cells))
+    return _pages(_dealt(_t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")), told, F.concat(heading, cells))
 
 
 @query(
@@ -78,7 +85,7 @@ def _phpbb_profile_pages(spark, sf_dir):
         '<tr><td>Interesses:</td><td>i%d</td></tr><tr><td>P&aacute;gina/WWW:</td><td><a href="x">http://s.org/%d</a></td></tr><a href="mailto:S%d@Forum.org">m</a>',
         _shown("s_name"), _day("s_suppkey"), "s_nationkey", "s_nationkey", "s_suppkey", "s_suppkey",
     )
-    return _pages(_t(spark, sf_dir, "supplier"), F.format_string("s/phpbb/page/profile/profile.php_mode_viewprofile_u_%d.html", "s_suppkey"), html)
+    return _pages(_dealt(_t(spark, sf_dir, "supplier")), F.format_string("s/phpbb/page/profile/profile.php_mode_viewprofile_u_%d.html", "s_suppkey"), html)
 
 
 def _shown(name: str) -> Column:
@@ -196,7 +203,9 @@ def phpbb_topic_posts(spark, sf_dir):
 )
 def warehouse_topics(spark, sf_dir):
     pages = forum.phpbb_topic_pages(_topic_pages(spark, sf_dir))
-    topics = build.warehouse_topics(pages.select(forum.TOPIC_COLUMNS), forum.phpbb_posts(pages))
+    # Two counts are made of posts: written once, without their texts.
+    posts = cut_lineage(forum.phpbb_posts(pages).select("topic_key", "author_key", "author_display", "posted", "ord", "pos"))
+    topics = build.warehouse_topics(pages.select(forum.TOPIC_COLUMNS), posts)
     return topics.select("topic_key", "forum_key", "forum_title", "topic_title", "post_count", "unique_author_count", F.array_join("author_keys", "|").alias("author_keys"), "first_seen_at", "last_seen_at", "first_source_file", "source_page_count")
 
 
@@ -226,7 +235,7 @@ def enriched_users(spark, sf_dir):
 
 
 def _quote_pages(spark, sf_dir):
-    orders = _t(spark, sf_dir, "orders")
+    orders = _dealt(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
     key = F.col("o_orderkey")
     body = F.when(key % 5 == 0, " ").when(key % 2 == 0, F.concat("o_orderpriority", F.lit("\ntotal "), "o_orderstatus")).otherwise(F.format_string("[quote][b]%s[/b] [url=http://x.org/%d]site[/url][/quote]", "o_orderpriority", key))
     html = F.format_string(
