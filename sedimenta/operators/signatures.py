@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions import text
+from sedimenta.functions.once import once
 from sedimenta.session import cut_lineage
 
 
@@ -57,7 +58,8 @@ def endings(posts: DataFrame, options: Options = Options()) -> DataFrame:
     squeezed is null for endings that are too long for a signature whatever white space they have.
     """
     blocks = text.split_blocks(F.col("body"), options.separator)
-    posts = posts.withColumn("blocks", blocks).withColumn("n_blocks", F.size("blocks"))
+    # Texts are split once, and not again for the filters on what they are split into.
+    posts = once(posts, {"blocks": blocks}).withColumn("n_blocks", F.size("blocks"))
     raws = [F.when(F.col("n_blocks") > n, F.struct(F.lit(n).alias("depth"), text.join_blocks(F.slice("blocks", -n, n), options.joint).alias("raw"))) for n in options.depths]
     posts = posts.withColumn("raws", F.array_compact(F.array(*raws)))
     short = lambda raw: F.length(F.translate(raw, " \t\n\r\xa0", "")) <= options.max_chars
@@ -75,7 +77,8 @@ def candidates(posts: DataFrame, options: Options = Options()) -> tuple[DataFram
     # An inner explode would have the endings made again, to ask whether there are any.
     # The text is measured once, and stays behind: only endings go on, and of those only what can be a signature.
     each = told.select("user_key", "ord", F.length(text.squeeze(F.col("body"))).alias("whole_size"), F.explode_outer("endings").alias("e")).filter(F.col("e.squeezed").isNotNull() & _shaped(F.col("e.squeezed"), F.col("whole_size"), options))
-    each = each.withColumn("normalized", text.normalize_signature(F.col("e.raw"))).filter("normalized <> ''")
+    each = each.withColumn("normalized", text.normalize_signature(F.col("e.raw")))
+    each = once(each, {"normalized": F.col("normalized")}).filter("normalized <> ''")
     first = F.min(F.struct("ord", F.col("e.depth").alias("depth"), F.col("e.raw").alias("raw")))
     counted = each.groupBy("user_key", "normalized").agg(F.count("*").alias("count"), first.alias("f"))
     return counted.select("user_key", "normalized", "count", F.col("f.depth").alias("depth"), F.col("f.raw").alias("raw"), F.struct(F.col("f.ord").alias("o"), F.col("f.depth").alias("d")).alias("first_at")), users
